@@ -29,37 +29,35 @@ def parse_jobs(jobs: DataFrame, member: str = "member", apps: list[str] | None =
 
     Valid jobs have a NULL reason. ``apps`` limits the applications that are accepted.
     """
-    parts = F.split(F.col(member), ":")
-    tail = F.split(F.get(parts, F.lit(1)), "@")
-    action = F.split(parts[0], "_")
-    ids = F.get(tail, F.lit(0))
-    retry_text = F.get(tail, F.lit(1))
-    op = F.coalesce(F.get(action, F.lit(2)), F.lit(""))
-    app = F.get(action, F.lit(0))
+    split_up = jobs.withColumn("_parts", F.split(F.col(member), ":"))
+    split_up = split_up.withColumns(
+        {"_tail": F.split(F.get("_parts", F.lit(1)), "@"), "_action": F.split(F.get("_parts", F.lit(0)), "_")}
+    )
+    ids, retry = F.get("_tail", F.lit(0)), F.get("_tail", F.lit(1))
+    app, op = F.get("_action", F.lit(0)), F.coalesce(F.get("_action", F.lit(2)), F.lit(""))
     supported = app.isin(apps) if apps else F.lit(True)
     reason = (
-        F.when(F.size(parts) != 2, "format")
-        .when(F.size(tail) > 2, "retry format")
-        .when((F.size(tail) == 2) & ~retry_text.rlike(r"^[+-]?[0-9]+$"), "retry number")
+        F.when(F.size("_parts") != 2, "format")
+        .when(F.size("_tail") > 2, "retry format")
+        .when((F.size("_tail") == 2) & ~retry.rlike(r"^[+-]?[0-9]+$"), "retry number")
         .when(~ids.rlike(_IDS), "ids")
-        .when((F.size(action) < 2) | ~supported, "action")
+        .when((F.size("_action") < 2) | ~supported, "action")
         .when(~op.isin("", "delete"), "operation")
     )
-    valid = reason.isNull()
-    return jobs.select(
-        "*",
+    valid = F.col("reject_reason").isNull()
+    return split_up.withColumn("reject_reason", reason).select(
+        *jobs.columns,
         F.when(valid, app).alias("app"),
-        F.when(valid, F.get(action, F.lit(1))).alias("entity"),
+        F.when(valid, F.get("_action", F.lit(1))).alias("entity"),
         F.when(valid, op).alias("op"),
         F.when(valid, ids).alias("ids"),
-        F.when(valid, F.coalesce(retry_text.try_cast("int"), F.lit(0))).alias("retry"),
-        reason.alias("reject_reason"),
+        F.when(valid, F.coalesce(retry.try_cast("int"), F.lit(0))).alias("retry"),
+        "reject_reason",
     )
 
 
 def explode_jobs(parsed: DataFrame, id_as: str = "id") -> DataFrame:
     """One row per id of the valid jobs."""
-    valid = parsed.filter(F.col("reject_reason").isNull())
-    return valid.select(
-        "app", "entity", "op", "retry", F.explode(F.split("ids", ",+")).cast("long").alias(id_as)
-    )
+    # rejected jobs have NULL ids and give no row
+    ids = F.split("ids", ",+").cast("array<bigint>")
+    return parsed.select("app", "entity", "op", "retry", F.explode(ids).alias(id_as))

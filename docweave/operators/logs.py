@@ -45,27 +45,39 @@ def _query(uri: Column) -> Column:
     return F.when(at > 0, F.substring(uri, at + 1, F.length(uri))).otherwise(F.lit(""))
 
 
-def scan_access_log(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Every line with its raw parts and ``reject_reason``, the first test that failed."""
-    parted = lines.withColumn("_f", F.split(F.col(line), r"\|", -1))
+def _log_id() -> Column:
+    """Digest of time in nanoseconds and the untrimmed fields of a line."""
+    nanos = (F.unix_seconds("_at") * F.lit(1_000_000_000)).cast("string")
+    parts = [nanos, "_host", F.get("_request", F.lit(0)), "_uri", "_status", "_response", "_agent", "_forwarded"]
+    return F.md5(F.concat(*parts).cast("binary"))
+
 
-    def part(index: int) -> Column:
+def scan_access_log(lines: DataFrame, slow_ms: float = 0.0, line: str = "line") -> DataFrame:
+    """Every line with ``reject_reason``, the first test that failed, and its ``document``.
+
+    The document is NULL for rejected lines and for those faster than ``slow_ms`` milliseconds. Each
+    step is a projection of its own whose values are used several times below, so that nothing is
+    parsed twice.
+    """
+    fields = lines.select(F.col(line), F.split(F.col(line), r"\|", -1).alias("_f"))
+
+    def field(index: int) -> Column:
         return F.get(F.col("_f"), F.lit(index))
 
-    parted = parted.select(
-        F.col(line),
+    parts = fields.select(
+        line,
         F.size("_f").alias("_n"),
-        F.trim(part(TIME)).alias("_time"),
-        part(HOST).alias("_host"),
-        part(STATUS).alias("_status"),
-        part(RESPONSE).alias("_response"),
-        F.split(F.trim(part(REQUEST)), " ").alias("_request"),
-        part(AGENT).alias("_agent"),
-        part(FORWARDED).alias("_forwarded"),
+        F.trim(field(TIME)).alias("_time"),
+        field(HOST).alias("_host"),
+        field(STATUS).alias("_status"),
+        field(RESPONSE).alias("_response"),
+        F.split(F.trim(field(REQUEST)), " ").alias("_request"),
+        field(AGENT).alias("_agent"),
+        field(FORWARDED).alias("_forwarded"),
     )
     uri = F.get(F.col("_request"), F.lit(1))
     seconds = F.trim(F.col("_response"))
-    parsed = parted.select(
+    values = parts.select(
         "*",
         F.when(F.col("_time").rlike(_TIME_SHAPE), F.try_to_timestamp("_time", F.lit(_TIME_PATTERN))).alias("_at"),
         uri.alias("_uri"),
@@ -81,32 +93,9 @@ def scan_access_log(lines: DataFrame, line: str = "line") -> DataFrame:
         .when(F.col("_code").isNull(), "status")
         .when(F.col("_seconds").isNull(), "response time")
     )
-    return parsed.withColumn("reject_reason", reason)
-
-
-def log_rejects(scanned: DataFrame, line: str = "line") -> DataFrame:
-    """Bad lines and why they are bad."""
-    return scanned.filter(F.col("reject_reason").isNotNull()).select(line, "reject_reason")
-
-
-def slow_requests(scanned: DataFrame, milliseconds: float) -> DataFrame:
-    """Scanned lines that took at least so long."""
-    return scanned.filter(F.col("_seconds") >= F.lit(milliseconds / 1000.0))
-
-
-def log_id() -> Column:
-    """Digest of time in nanoseconds and the untrimmed fields of a scanned line."""
-    nanos = (F.unix_seconds("_at") * F.lit(1_000_000_000)).cast("string")
-    return F.md5(
-        F.concat(nanos, "_host", F.get("_request", F.lit(0)), "_uri", "_status", "_response", "_agent", "_forwarded").cast("binary")
-    )
-
-
-def log_documents(scanned: DataFrame) -> DataFrame:
-    """Documents of the valid lines."""
-    valid = scanned.filter(F.col("reject_reason").isNull())
-    return valid.select(
-        log_id().alias("id"),
+    judged = values.withColumn("reject_reason", reason)
+    document = F.struct(
+        _log_id().alias("id"),
         F.col("_at").alias("request_time"),
         F.trim("_host").alias("domain"),
         F.get("_request", F.lit(0)).alias("http_method"),
@@ -117,12 +106,25 @@ def log_documents(scanned: DataFrame) -> DataFrame:
         F.trim("_agent").alias("user_agent"),
         F.substring_index(F.trim("_forwarded"), ",", 1).alias("real_ip"),
     )
+    wanted = F.col("reject_reason").isNull() & (F.col("_seconds") >= F.lit(slow_ms / 1000.0))
+    return judged.select(line, "reject_reason", F.when(wanted, document).alias("document"))
+
+
+def log_rejects(scanned: DataFrame, line: str = "line") -> DataFrame:
+    """Bad lines and why they are bad."""
+    # a generator instead of a filter: a pushed-down filter would run the whole parse a second time
+    bad = F.when(F.col("reject_reason").isNotNull(), F.array(F.struct(line, "reject_reason")))
+    return scanned.select(F.inline(bad))
+
+
+def log_documents(scanned: DataFrame) -> DataFrame:
+    """Documents of the lines that have one."""
+    return scanned.select(F.inline(F.when(F.col("document").isNotNull(), F.array("document"))))
 
 
 def parse_access_log(lines: DataFrame, slow_ms: float = 0.0, line: str = "line") -> DataFrame:
     """Documents of the valid lines that took at least ``slow_ms`` milliseconds."""
-    scanned = scan_access_log(lines, line)
-    return log_documents(slow_requests(scanned, slow_ms) if slow_ms > 0 else scanned)
+    return log_documents(scan_access_log(lines, slow_ms, line))
 
 
 def log_upsert(documents: DataFrame) -> DataFrame:

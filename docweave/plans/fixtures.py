@@ -303,17 +303,17 @@ v_parts AS (
          string_split(trim(f[11], ' '), ' ') AS req, f[12] AS agent, f[13] AS fwd FROM v_fields),
 v_uri AS (SELECT *, req[2] AS uri, split_part(req[2], '?', 1) AS upath FROM v_parts),
 v_scan AS (
-  SELECT *, try_strptime(replace(t, ' +0800', ''), '%d/%b/%Y:%H:%M:%S') - INTERVAL 8 HOUR AS at,
+  SELECT *, try_strptime(replace(t, ' +0800', ''), '%d/%b/%Y:%H:%M:%S') - INTERVAL 8 HOUR AS logged,
          TRY_CAST(trim(st, ' ') AS INTEGER) AS code, TRY_CAST(trim(resp, ' ') AS DOUBLE) AS seconds,
          CASE WHEN upath LIKE '%\\%zz%' ESCAPE '\\' THEN NULL
               WHEN starts_with(uri, '/') THEN replace(upath, '%20', ' ')
               WHEN regexp_matches(uri, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN regexp_extract(uri, '^[a-z]+://[^/?]*(/[^?]*)', 1) END AS path
   FROM v_uri),
 v_log AS (
-  SELECT *, CASE WHEN n <> 14 THEN 'field count' WHEN at IS NULL OR NOT ends_with(t, ' +0800') THEN 'time'
+  SELECT *, CASE WHEN n <> 14 THEN 'field count' WHEN logged IS NULL OR NOT ends_with(t, ' +0800') THEN 'time'
                  WHEN len(req) <> 3 THEN 'request' WHEN path IS NULL THEN 'uri' WHEN code IS NULL THEN 'status'
                  WHEN seconds IS NULL THEN 'response time' END AS reason,
-         md5(CAST(epoch(at) AS BIGINT) * 1000000000 || host || req[1] || uri || st || resp || agent || fwd) AS id,
+         md5(CAST(epoch(logged) AS BIGINT) * 1000000000 || host || req[1] || uri || st || resp || agent || fwd) AS id,
          trim(host, ' ') AS domain, req[1] AS http_method, path AS request_route,
          CASE WHEN uri LIKE '%?%' THEN substr(uri, strpos(uri, '?') + 1) ELSE '' END AS request_param,
          trim(agent, ' ') AS user_agent, split_part(trim(fwd, ' '), ',', 1) AS real_ip
