@@ -1 +1,72 @@
-"""Queries."""
+"""Queries that run streams to the end of their input and return what they wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from docweave.operators import changes as cdc
+from docweave.operators.strategy import strategy
+from docweave.plans.change_queries import V_BATCH, V_COMPACT, V_LAST
+from docweave.plans.fixtures import Tables, V_CHANGE, V_LOG, V_LOG_LINE, changes_of, log_lines_of
+from docweave.plans.log_queries import DOCUMENT_SQL, printable
+from docweave.plans.registry import query, with_views
+from docweave.session import fresh_dir
+from docweave.sources.tables import read_change_feed
+from docweave.streaming.feeds import JOB_SCHEMA, compact_state, log_store, read_logs, read_state, stream_jobs, stream_logs, stream_state
+from docweave.streaming.store import BatchStore
+
+STATE_KEYS = ["base", "key"]
+_STATE_COLUMNS = ["base", "key", "file", "pos", "action", "value"]
+_STATE_SQL = with_views(V_CHANGE, V_LAST, select=f"SELECT {', '.join(_STATE_COLUMNS)} FROM v_last WHERE action <> 'delete'")
+
+
+def _events(spark: SparkSession, path: str, like: DataFrame, max_files: int | None = None) -> DataFrame:
+    return read_change_feed(spark, path, like.schema, streaming=True, max_files=max_files)
+
+
+def _state_rows(changes: DataFrame) -> DataFrame:
+    return changes.withColumn("base", cdc.tag_base(F.col("db"), F.col("tbl"))).select(*_STATE_COLUMNS)
+
+
+@query("l1_stream_state", _STATE_SQL)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    root = fresh_dir(spark, "state")
+    events = _events(spark, f"{sf}/event*.parquet", Tables(spark, sf).table("events"))
+    rows = _state_rows(changes_of(events))
+    store = BatchStore(spark, f"{root}/out", rows.schema)
+    stream_state(rows, store, STATE_KEYS, f"{root}/checkpoint").awaitTermination()
+    return read_state(store, STATE_KEYS)
+
+
+@query("l2_stream_jobs", with_views(V_CHANGE, V_BATCH, V_COMPACT, select="SELECT * FROM v_compact"))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    root = fresh_dir(spark, "jobs")
+    changes = changes_of(_events(spark, f"{sf}/event*.parquet", Tables(spark, sf).table("events")))
+    rows = changes.select("file", "pos", "db", "tbl", "action", "key", "event_time")
+    store = BatchStore(spark, f"{root}/out", JOB_SCHEMA)
+    queue_tag = strategy().queue_tag(F.col("db"), F.col("tbl"), F.col("action"))
+    stream_jobs(rows, store, F.lit("jobs"), queue_tag, f"{root}/checkpoint").awaitTermination()
+    return store.read().drop("run")
+
+
+@query("l3_stream_logs", with_views(V_LOG_LINE, V_LOG, select=f"SELECT DISTINCT {DOCUMENT_SQL} FROM v_log WHERE reason IS NULL"))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    root = fresh_dir(spark, "logs")
+    lines = log_lines_of(_events(spark, f"{sf}/event*.parquet", Tables(spark, sf).table("events")))
+    store = log_store(spark, f"{root}/out")
+    stream_logs(lines, store, f"{root}/checkpoint").awaitTermination()
+    return printable(read_logs(store))
+
+
+@query("l4_stream_resume", _STATE_SQL)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed arrives in two parts; the second run goes on where the first ended."""
+    root = fresh_dir(spark, "resume")
+    events = Tables(spark, sf).table("events")
+    store = BatchStore(spark, f"{root}/out", _state_rows(changes_of(events)).schema)
+    for part in (F.col("value") < 20, F.col("value") >= 20):
+        events.filter(part).write.mode("append").parquet(f"{root}/feed")
+        rows = _state_rows(changes_of(_events(spark, f"{root}/feed", events, max_files=4)))
+        stream_state(rows, store, STATE_KEYS, f"{root}/checkpoint").awaitTermination()
+        compact_state(store, STATE_KEYS)
+    return read_state(store, STATE_KEYS)
