@@ -135,7 +135,7 @@ def compact_ids(batched: DataFrame, queue: Column, tag: Column, key: Column, tim
     rows = batched.select(
         "batch_no", queue.alias("queue"), tag.alias("tag"), key.alias("_key"), time.alias("_time"), *POSITION
     ).filter((F.col("_key") != "") & F.col("tag").isNotNull())
-    entries = F.array_sort(F.collect_list(F.struct(*POSITION, F.col("_key").alias("key"))))
+    entries = F.sort_array(F.collect_list(F.struct(*POSITION, F.col("_key").alias("key"))))
     ids = F.transform(entries, lambda e: e["key"])
     if distinct:
         ids = F.array_distinct(ids)

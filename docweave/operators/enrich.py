@@ -19,7 +19,7 @@ def _descending(column: str) -> Column:
 
 def ordered_ids_and_names(pairs: DataFrame, key: str, id_col: str, name_col: str, ids_as: str, names_as: str) -> DataFrame:
     """Per key: ids ascending, names in the order of the ids."""
-    entries = F.array_sort(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col(name_col).alias("name"))))
+    entries = F.sort_array(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col(name_col).alias("name"))))
     grouped = pairs.groupBy(key).agg(entries.alias("_e"))
     return grouped.select(
         key,
@@ -43,10 +43,10 @@ def bridge_enrich(
     """Aligned id and name arrays per document; the standard ids are sorted on their own."""
     pairs = bridge.select(key, dim_key).distinct().join(dim, dim_key)
     aggregates = [
-        F.array_sort(F.collect_list(F.struct(F.col(dim_key).alias("id"), F.col(name_col).alias("name")))).alias("_e")
+        F.sort_array(F.collect_list(F.struct(F.col(dim_key).alias("id"), F.col(name_col).alias("name")))).alias("_e")
     ]
     if standard_col:
-        aggregates.append(F.array_sort(F.collect_list(standard_col)).alias(standard_as))
+        aggregates.append(F.sort_array(F.collect_list(standard_col)).alias(standard_as))
     grouped = pairs.groupBy(key).agg(*aggregates)
     columns = [
         key,
@@ -80,7 +80,7 @@ def people_enrich(
         F.col(dim_key).alias("id"),
         F.col(name_col).alias("name"),
     )
-    grouped = pairs.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+    grouped = pairs.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
     return grouped.select(
         key,
         F.transform("_e", lambda e: e["id"]).alias(ids_as),
@@ -147,7 +147,7 @@ def same_name_sources(
     """
     per_source = base.groupBy(*group, source).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
     entry = F.struct(F.col(source).alias("source"), F.col("lo"), F.col("hi"))
-    per_group = per_source.groupBy(*group).agg(F.array_sort(F.collect_list(entry)).alias("_sources"))
+    per_group = per_source.groupBy(*group).agg(F.sort_array(F.collect_list(entry)).alias("_sources"))
     joined = salted_join(base, per_group, group) if salted else base.join(per_group, group, "left")
     others = F.filter(F.col("_sources"), lambda s: (s["lo"] != F.col(key)) | (s["hi"] != F.col(key)))
     names = F.coalesce(F.transform(others, lambda s: s["source"]), F.array().cast("array<string>"))

@@ -20,12 +20,23 @@ def tokens(text: Column) -> Column:
     return F.filter(words, lambda word: word != "")
 
 
+def prefixes(words: Column, low: int = MIN_GRAM, high: int = MAX_GRAM) -> Column:
+    """Distinct prefixes of ``low`` to ``high`` characters of a list of words."""
+
+    def of_word(word: Column) -> Column:
+        lengths = F.sequence(F.lit(low), F.least(F.length(word), F.lit(high)))
+        return F.transform(lengths, lambda n: F.substring(word, F.lit(1), n))
+
+    long_enough = F.filter(words, lambda word: F.length(word) >= low)
+    return F.array_distinct(F.flatten(F.transform(long_enough, of_word)))
+
+
 def prefix_postings(df: DataFrame, key: str, column: str, low: int = MIN_GRAM, high: int = MAX_GRAM) -> DataFrame:
-    """Distinct (``term``, ``key``) for every prefix of ``low`` to ``high`` characters."""
-    words = df.select(key, F.explode(tokens(F.col(column))).alias("_word")).filter(F.length("_word") >= low)
-    lengths = F.sequence(F.lit(low), F.least(F.length("_word"), F.lit(high)))
-    grams = words.select(key, F.explode(F.transform(lengths, lambda n: F.substring("_word", F.lit(1), n))).alias("term"))
-    return grams.distinct()
+    """Distinct (``term``, ``key``) for every prefix; ``df`` has one row per key.
+
+    The prefixes of a row are made distinct inside the row, so no shuffle is needed for it.
+    """
+    return df.select(key, F.explode(prefixes(tokens(F.col(column)), low, high)).alias("term"))
 
 
 def prefix_index(df: DataFrame, key: str, column: str, low: int = MIN_GRAM, high: int = MAX_GRAM) -> DataFrame:

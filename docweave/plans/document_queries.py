@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.operators import enrich
 from docweave.operators.asof import newest_position, position_as_of
 from docweave.operators.merge import without
-from docweave.operators.numbering import assign_versions, index_sort, rank_in_group, shard_of
+from docweave.operators.numbering import assign_versions, index_sort, rank_in_group, running_offsets, shard_of
 from docweave.operators.postings import prefix_index, prefix_postings, weighted_postings
 from docweave.operators.rules import Rule, effective_rules, require_rules, rule_match
 from docweave.plans.actor import build_actor_document
@@ -346,9 +346,7 @@ def assign_stored_positions(stored: DataFrame) -> DataFrame:
     """Position of each row by file name and row number in the file."""
     placed = stored.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per file
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = running_offsets(sizes, "_file", "_n", "_before")  # as many rows as files
     joined = placed.join(F.broadcast(offsets), "_file")
     return joined.withColumn("stored_at", F.col("_before") + F.col("_row") + 1).drop("_file", "_row", "_before")
 
@@ -372,7 +370,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     f"SELECT term, count(*) AS n_docs, min(doc) AS first_doc, max(doc) AS last_doc FROM ({_grams('doc_id', 'text', 'documents')}) GROUP BY 1",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return prefix_index(Tables(spark, sf).table("documents"), "doc_id", "text")
+    return prefix_index(Tables(spark, sf).documents, "doc_id", "text")
 
 
 @query("k1_prefix_postings", f"SELECT doc AS p_partkey, term FROM ({_grams('p_partkey', 'p_name', 'part')})")

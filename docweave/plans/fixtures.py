@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docweave.sources.tables import epoch_seconds, read_table
+from docweave.sources.tables import epoch_seconds, read_table, spread_small
 
 
 class Tables:
@@ -38,7 +38,7 @@ class Tables:
         """Documents with the text columns that hold lists and JSON."""
         key = F.col("id")
         number = key.cast("string")
-        return self.doc.withColumnsRenamed({"cust_id": "channel_id"}).withColumns(
+        return spread_small(self.doc, "id").withColumnsRenamed({"cust_id": "channel_id"}).withColumns(
             {
                 "vip_type": F.when(key % 4 == 0, "").otherwise("vip"),
                 "extend": extend_json(key, number),
@@ -142,7 +142,11 @@ class Tables:
 
     @cached_property
     def log_line(self) -> DataFrame:
-        return log_lines_of(self.table("events"))
+        return log_lines_of(spread_small(self.table("events"), "event_id"))
+
+    @cached_property
+    def documents(self) -> DataFrame:
+        return spread_small(self.table("documents").select("doc_id", "text"), "doc_id")
 
 
 def brand_number() -> Column:
