@@ -47,9 +47,15 @@ def prefix_index(df: DataFrame, key: str, column: str, low: int = MIN_GRAM, high
 
 
 def weighted_postings(df: DataFrame, key: str, weights: dict[str, int]) -> DataFrame:
-    """Sum of the field weights per (``term``, ``key``) over the fields that contain the prefix."""
-    combined = None
-    for column, weight in weights.items():
-        part = prefix_postings(df, key, column).withColumn("weight", F.lit(weight))
-        combined = part if combined is None else combined.unionByName(part)
-    return combined.groupBy("term", key).agg(F.sum("weight").alias("weight"))
+    """Sum of the field weights per (``term``, ``key``) over the fields that contain the prefix.
+
+    All fields of a row are expanded in one pass, so the sum is complete before the shuffle.
+    """
+
+    def weighted(column: str, weight: int) -> Column:
+        terms = F.coalesce(prefixes(tokens(F.col(column))), F.array().cast("array<string>"))
+        return F.transform(terms, lambda term: F.struct(term.alias("term"), F.lit(weight).alias("weight")))
+
+    per_field = [weighted(column, weight) for column, weight in weights.items()]
+    entries = df.select(key, F.inline(F.concat(*per_field)))
+    return entries.groupBy("term", key).agg(F.sum("weight").alias("weight"))

@@ -104,9 +104,7 @@ def apply_rules(changes: DataFrame, widths: dict[str, int], row: str = "row") ->
 
     ``widths`` maps the rule key of a followed table to its column count.
     """
-    expected = F.lit(None).cast("int")
-    for key, width in widths.items():
-        expected = F.when(F.col("rule_key") == key.lower(), F.lit(width)).otherwise(expected)
+    pairs = [F.lit(item) for key, width in widths.items() for item in (key.lower(), width)]
     keyed = changes.withColumn("rule_key", rule_key(F.col("db"), F.col("tbl")))
-    known = keyed.filter(F.col("rule_key").isin([k.lower() for k in widths]))
-    return known.filter(F.size(row) == expected)
+    # an unknown table has no width and is dropped by the same comparison
+    return keyed.filter(F.size(row) == F.try_element_at(F.create_map(*pairs), F.col("rule_key")))
