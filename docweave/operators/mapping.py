@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docweave.functions.convert import epoch_to_timestamp, multi_format_date
+
 # Declared field type -> Spark type (fixed values).
 FIELD_TYPES = {
     "byte": "tinyint",
@@ -18,21 +20,41 @@ FIELD_TYPES = {
 _FLOAT_LIMIT = 3.4028234663852886e38
 
 
-def _fit(value: Column, field_type: str) -> Column:
+def _fit(value: Column, field_type: str, dtype: str, epoch_unit: str) -> Column:
     if field_type == "float":
         number = value.try_cast("double")
         return F.when(F.abs(number) <= _FLOAT_LIMIT, number.cast("float"))
+    if field_type == "date" and dtype == "string":
+        return multi_format_date(value)
+    if field_type == "date" and dtype in ("int", "bigint"):
+        return epoch_to_timestamp(value, epoch_unit)
     return value.try_cast(FIELD_TYPES[field_type])
 
 
-def conform_to_mapping(df: DataFrame, mapping: dict[str, str], reject: str = "reject_reason") -> DataFrame:
+def _fit_field(name: str, field_type: str, dtype: str, epoch_unit: str) -> tuple[Column, Column]:
+    """(fitted value, whether something in it does not fit); a field may hold a list."""
+    value = F.col(name)
+    if not dtype.startswith("array<"):
+        fitted = _fit(value, field_type, dtype, epoch_unit)
+        return fitted, value.isNotNull() & fitted.isNull()
+    element = dtype[len("array<") : -1]
+    fitted = F.transform(value, lambda item: _fit(item, field_type, element, epoch_unit))
+    misfit = F.exists(value, lambda item: item.isNotNull() & _fit(item, field_type, element, epoch_unit).isNull())
+    return fitted, F.coalesce(misfit, F.lit(False))
+
+
+def conform_to_mapping(
+    df: DataFrame, mapping: dict[str, str], reject: str = "reject_reason", epoch_unit: str = "ms"
+) -> DataFrame:
     """Declared columns in their target type and a reject reason naming the first field that does not fit.
 
-    Columns without a declaration are kept as they are. Filter on the reason to separate the rows.
+    Columns without a declaration are kept as they are. Lists are checked item by item. Dates may be
+    texts in any accepted shape or epoch numbers of the stated unit. Filter on the reason to separate
+    the rows.
     """
-    declared = [c for c in df.columns if c in mapping]
-    fitted = {c: _fit(F.col(c), mapping[c]) for c in declared}
-    failing = [F.when(F.col(c).isNotNull() & fitted[c].isNull(), F.lit(c)) for c in declared]
+    dtypes = dict(df.dtypes)
+    fitted = {c: _fit_field(c, mapping[c], dtypes[c], epoch_unit) for c in df.columns if c in mapping}
+    failing = [F.when(misfit, F.lit(c)) for c, (_, misfit) in fitted.items()]
     reason = F.coalesce(*failing) if failing else F.lit(None).cast("string")
-    columns = [fitted[c].alias(c) if c in fitted else F.col(c) for c in df.columns]
+    columns = [fitted[c][0].alias(c) if c in fitted else F.col(c) for c in df.columns]
     return df.select(*columns, reason.alias(reject))

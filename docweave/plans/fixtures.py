@@ -21,17 +21,7 @@ class Tables:
     @cached_property
     def doc(self) -> DataFrame:
         """Orders as documents."""
-        updated = epoch_seconds(F.col("o_orderdate"))
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("id"),
-            F.col("o_custkey").alias("cust_id"),
-            F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("disable"),
-            updated.alias("update_time"),
-            F.when(F.col("o_orderkey") % 11 == 0, F.lit(0)).otherwise(updated - 3600).alias("create_time"),
-            F.col("o_totalprice").alias("price"),
-            F.col("o_orderpriority").alias("name"),
-            F.col("o_orderstatus").alias("source"),
-        )
+        return docs_of(self.table("orders"))
 
     @cached_property
     def media(self) -> DataFrame:
@@ -149,6 +139,21 @@ class Tables:
         return spread_small(self.table("documents").select("doc_id", "text"), "doc_id")
 
 
+def docs_of(orders: DataFrame) -> DataFrame:
+    """Orders as documents."""
+    updated = epoch_seconds(F.col("o_orderdate"))
+    return orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_custkey").alias("cust_id"),
+        F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("disable"),
+        updated.alias("update_time"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit(0)).otherwise(updated - 3600).alias("create_time"),
+        F.col("o_totalprice").alias("price"),
+        F.col("o_orderpriority").alias("name"),
+        F.col("o_orderstatus").alias("source"),
+    )
+
+
 def brand_number() -> Column:
     return F.regexp_extract("p_brand", r"(\d+)$", 1).cast("long")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.plans.fixtures import Tables, V_DOC, V_LOG_LINE
+from docweave.plans.fixtures import Tables, V_DOC, V_LOG_LINE, docs_of
 from docweave.plans.registry import query, with_views
 from docweave.session import fresh_dir
 from docweave.sources.scans import (
@@ -43,7 +43,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("a3_time_range_scan", with_views(V_DOC, select=f"SELECT {_DOC_COLUMNS} FROM v_doc WHERE update_time BETWEEN {START} AND {END}"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return time_range_scan(_doc(Tables(spark, sf)), "update_time", START, END)
+    t = Tables(spark, sf)
+    rows = time_range_scan(t.table("orders"), "o_orderdate", START, END)
+    return docs_of(rows).select("id", "cust_id", "disable", "update_time", "create_time", "price")
 
 
 @query(
@@ -53,8 +55,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     line = Tables(spark, sf).line
-    rows = line.select("l_orderkey", "l_linenumber", "l_partkey", epoch_seconds(F.col("l_shipdate")).alias("update_time"))
-    return incremental_scan(rows, "update_time", NOW, PERIOD)
+    rows = incremental_scan(line, "l_shipdate", NOW, PERIOD)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", epoch_seconds(F.col("l_shipdate")).alias("update_time"))
 
 
 @query(

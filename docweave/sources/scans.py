@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from docweave.operators.numbering import global_index
@@ -63,15 +63,24 @@ def _check_range(start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
+def _bound(df: DataFrame, ts: str, seconds: int) -> Column:
+    """Epoch seconds as a literal of the column's own type, so that the comparison reaches the files."""
+    kind = df.schema[ts].dataType.typeName()
+    if kind not in ("timestamp", "timestamp_ntz"):
+        return F.lit(seconds)
+    text = datetime.fromtimestamp(seconds, timezone.utc).strftime(_TIME_FORMAT)
+    return F.lit(text).cast(kind)
+
+
 def time_range_scan(df: DataFrame, ts: str, start: int, end: int) -> DataFrame:
-    """Rows with ``start <= ts <= end`` (epoch seconds)."""
+    """Rows with ``start <= ts <= end``; bounds are epoch seconds, the column a number or a timestamp."""
     low, high = _check_range(start, end)
-    return df.filter(F.col(ts).between(low, high))
+    return df.filter(F.col(ts).between(_bound(df, ts, low), _bound(df, ts, high)))
 
 
 def incremental_scan(df: DataFrame, ts: str, now: int, period: int) -> DataFrame:
     """Rows changed after ``now - period``; ``now`` is explicit so that reruns give the same rows."""
-    return df.filter(F.col(ts) > F.lit(now - period))
+    return df.filter(F.col(ts) > _bound(df, ts, now - period))
 
 
 def enabled_filter(df: DataFrame, entity: str, flag: str = "disable") -> DataFrame:

@@ -179,3 +179,12 @@ def test_mapping_names_the_first_bad_field(frame):
     checked = conform_to_mapping(rows, {"id": "long", "size": "byte"}).collect()
     assert [r["reject_reason"] for r in checked] == ["size", "id", None]
     assert checked[2]["size"] == 5 and checked[0]["other"] == "x"
+
+
+def test_mapping_of_lists_and_dates(frame):
+    rows = frame(
+        [(["1", "300"], "2021/01", 1609459200), (["1", "2"], "2021/01", 1609459200), (None, "x", None)], "n array<string>, d string, at long"
+    )
+    checked = conform_to_mapping(rows, {"n": "byte", "d": "date", "at": "date"}, epoch_unit="s").collect()
+    assert [r["reject_reason"] for r in checked] == ["n", None, "d"]
+    assert checked[1]["n"] == [1, 2] and checked[1]["d"] == checked[1]["at"]

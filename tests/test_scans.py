@@ -85,3 +85,12 @@ def test_small_scan_is_spread_once(spark):
     assert spread_small(rows, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 100, 1, 16)
     assert spread_small(many, "id") is many
+
+
+def test_time_bounds_reach_the_scan_of_a_timestamp(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_orderdate")
+    recent = scans.incremental_scan(orders, "o_orderdate", now=1_000_000_000, period=100_000_000)
+    assert "GreaterThan(o_orderdate,1998-07-09T16:00)" in recent._jdf.queryExecution().executedPlan().toString()
+    assert recent.count() == orders.filter("o_orderdate > '1998-07-09 16:00:00'").count() > 0
+    ranged = scans.time_range_scan(orders, "o_orderdate", 900_000_000, 950_000_000)
+    assert "LessThanOrEqual(o_orde" in ranged._jdf.queryExecution().executedPlan().toString()
