@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
+from docweave.functions.json_fields import enclosed, valid_json
+
 FIELD_COUNT = 14
 # Positions of the fields that are used (fixed values).
 TIME, HOST, STATUS, RESPONSE, REQUEST, AGENT, FORWARDED = 0, 1, 2, 6, 10, 11, 12
@@ -139,8 +141,9 @@ def to_queue(documents: DataFrame) -> DataFrame:
 
 def from_queue(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """Documents of JSON payloads; bad JSON is skipped."""
-    valid = payloads.filter(F.try_parse_json(F.col(payload)).isNotNull())
-    return valid.select(F.from_json(payload, LOG_SCHEMA).alias("_d")).select("_d.*")
+    text = F.col(payload)
+    usable = F.when(enclosed(text, "{", "}"), valid_json(text)).otherwise(False)
+    return payloads.select(F.inline(F.when(usable, F.array(F.from_json(text, LOG_SCHEMA)))))
 
 
 def log_month(ts: Column) -> Column:

@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     # hot join keys are split at run time, even where that costs one more exchange
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a join whose partitions all turn out small is hashed instead of sorting both sides
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 _LOCAL_ROOTS: dict[str, str] = {}
