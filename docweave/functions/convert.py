@@ -8,6 +8,10 @@ from pyspark.sql.types import DataType, StringType, StructType, TimestampType
 # Datetime shapes accepted for a date field, first match wins (fixed values).
 DATE_FORMATS = [
     ("yyyy-MM-dd'T'HH:mm:ss", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSS", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}$"),
+    ("yyyy-MM-dd'T'HH:mm:ssXXX", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$"),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSSXXX", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}(Z|[+-]\d{2}:\d{2})$"),
+    ("yyyy-MM-dd'T'HH:mm", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$"),
     ("yyyy-MM-dd", r"^\d{4}-\d{2}-\d{2}$"),
     ("yyyy-MM", r"^\d{4}-\d{2}$"),
     ("yyyy", r"^\d{4}$"),

@@ -7,7 +7,7 @@ and no reader ever sees a gap.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from docweave.operators.merge import apply_batch
@@ -66,22 +66,27 @@ def publish_with_catch_up(
 
 
 def retention_rank(versions: DataFrame, alias: str = "alias", stamp: str = "stamp", pointed: str = "pointed") -> DataFrame:
-    """Versions with ``verdict``: ``current``, ``spare`` or ``delete``.
+    """Versions with ``verdict``: ``current``, ``spare``, ``delete``, or ``unknown`` without a current one.
 
-    Current is the newest version the alias points at; of all others the newest is spared. Two
-    aggregations per alias decide it, so an alias may have any number of versions.
+    Current is the newest version the alias points at; of all others the newest is spared, which is
+    one of the two newest. Stamps are unique per alias. The two newest are picked by a rank limit
+    that already applies before the shuffle, so an alias may have any number of versions.
     """
     current = versions.groupBy(alias).agg(F.max(F.when(F.col(pointed), F.col(stamp))).alias("_current"))
-    marked = versions.join(current, alias)
-    other = F.when(~F.col(stamp).eqNullSafe(F.col("_current")), F.col(stamp))
-    spare = marked.groupBy(alias).agg(F.max(other).alias("_spare"))
+    newest_first = Window.partitionBy(alias).orderBy(F.col(stamp).desc())
+    newest = versions.select(alias, stamp).withColumn("_rank", F.row_number().over(newest_first)).filter("_rank <= 2")
+    decided = (
+        newest.join(current, alias)
+        .groupBy(alias, "_current")
+        .agg(F.max(F.when(~F.col(stamp).eqNullSafe(F.col("_current")), F.col(stamp))).alias("_spare"))
+    )
     verdict = (
         F.when(F.col("_current").isNull(), "unknown")
         .when(F.col(stamp) == F.col("_current"), "current")
         .when(F.col(stamp) == F.col("_spare"), "spare")
         .otherwise("delete")
     )
-    return marked.join(spare, alias).withColumn("verdict", verdict).drop("_current", "_spare")
+    return versions.join(decided, alias).withColumn("verdict", verdict).drop("_current", "_spare")
 
 
 def retire_snapshots(spark: SparkSession, root: str, alias: str) -> list[str]:

@@ -118,7 +118,7 @@ class RetryStore:
     def forget_before(self, batch_id: int) -> None:
         """Drop ledgers that neither the batch nor its replay needs."""
         for old in [b for b in self.ledger.batch_ids() if b < batch_id - 1]:
-            self.ledger._remove(f"{self.ledger.root}/batches/batch_id={old}")
+            self.ledger.remove_batch(old)
 
 
 def stream_retry(

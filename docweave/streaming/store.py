@@ -47,7 +47,7 @@ class BatchStore:
         resolved.write.mode("overwrite").parquet(f"{self.root}/compacted/through={newest}")
         for batch_id in self.batch_ids():
             if batch_id <= previous:
-                self._remove(f"{self.root}/batches/batch_id={batch_id}")
+                self.remove_batch(batch_id)
         return newest
 
     def batch_ids(self) -> list[int]:
@@ -84,8 +84,9 @@ class BatchStore:
                 found.append(int(match.group(1)))
         return sorted(found)
 
-    def _remove(self, path: str) -> None:
-        target, fs = self._fs(path)
+    def remove_batch(self, batch_id: int) -> None:
+        """Delete the folder of one batch."""
+        target, fs = self._fs(f"{self.root}/batches/batch_id={batch_id}")
         fs.delete(target, True)
 
 

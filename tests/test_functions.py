@@ -79,7 +79,8 @@ def test_zero_date_is_null(one):
 @pytest.mark.parametrize(
     "text, seconds",
     [
-        ("2021-01-02T00:00:01", 1609545601), ("2021-01-02 00:00:01", 1609545601), ("2021-01-02", 1609545600), ("2021-01", 1609459200),
+        ("2021-01-02T00:00:01", 1609545601), ("2021-01-02T00:00:01.500", 1609545601), ("2021-01-02T08:00:01+08:00", 1609545601),
+        ("2021-01-02T00:00:01.000Z", 1609545601), ("2021-01-02T00:00", 1609545600), ("2021-01-02 00:00:01", 1609545601), ("2021-01-02", 1609545600), ("2021-01", 1609459200),
         ("2021", 1609459200), ("2021/01/02", 1609545600), ("2021/01", 1609459200), ("1609545600000", 1609545600), ("2021-13-01", None), ("x", None),
     ],
 )

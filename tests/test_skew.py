@@ -144,3 +144,58 @@ def test_prefixes_by_brute_force(frame):
     assert {r["term"]: r["n_docs"] for r in prefix_index(rows, "id", "text").collect()} == counts
     weighted = weighted_postings(frame([(1, "ab", "a")], "id int, x string, y string"), "id", {"x": 20, "y": 5})
     assert rows_of(weighted) == [("a", 1, 25), ("ab", 1, 20)]
+
+
+def test_adaptive_execution_splits_a_hot_lookup_key(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        keys = spark.range(0, 60_000, 1, 8).select(F.col("id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+        dim = spark.range(0, 60_000, 1, 4).select(F.col("id").alias("k"), (F.col("id") * 2).alias("n"))
+        joined = enrich.lookup(keys, dim, "k")
+        assert {r["n"] == r["k"] * 2 for r in joined.collect()} == {True}
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_alias_is_limited_before_the_shuffle(spark):
+    from docweave.operators.publish import retention_rank
+
+    versions = spark.range(0, N, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), F.col("id") % 50)).alias("alias"),
+        F.lpad(F.col("id").cast("string"), 14, "0").alias("stamp"),
+        (F.col("id") % 7 < 3).alias("pointed"),
+    )
+    ranked = retention_rank(versions)
+    assert "WindowGroupLimit" in ranked._jdf.queryExecution().executedPlan().toString()
+    groups = defaultdict(list)
+    for row in ranked.collect():
+        groups[row["alias"]].append(row)
+    assert sum(len(g) for g in groups.values()) == N
+    for rows in groups.values():
+        current = max((r["stamp"] for r in rows if r["pointed"]), default=None)
+        spare = max((r["stamp"] for r in rows if r["stamp"] != current), default=None)
+        for r in rows:
+            expected = "unknown" if current is None else "current" if r["stamp"] == current else "spare" if r["stamp"] == spare else "delete"
+            assert r["verdict"] == expected
+
+
+def test_empty_inputs(spark, frame):
+    empty = frame([], "id long, k long, v long")
+    assert global_index(empty, "k", "id").count() == 0
+    assert rank_in_group(empty, ["k"], [F.col("id")]).count() == 0
+    log = frame([], "file string, pos long, at long")
+    points = frame([(5,)], "q long")
+    assert rows_of(position_as_of(log, points, log_ts="at", point_ts="q")) == [(5, None, None)]
+    assert prefix_index(frame([], "id int, t string"), "id", "t").count() == 0
