@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from docweave.compare import differences, open_duckdb
 
 SF = "/root/testdata/sf0.001"
-TWINS = entry.oracle_sql()
+QUERIES, TWINS = entry.registry.QUERIES, entry.registry.TWINS
 
 
 @pytest.fixture(scope="module")
@@ -14,9 +14,9 @@ def connection():
     return open_duckdb(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, connection, name):
-    result = entry.queries()[name](spark, SF)
+    result = QUERIES[name](spark, SF)
     assert name in TWINS
     assert differences(result, connection, TWINS[name]) == ""
 
