@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import lines
+from docweave.llm import lines, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup_digest(_table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 LINE_VIEWS = """
 split_lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -45,5 +49,8 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM judged GROUP BY doc_id"""
 
 
-QUERIES: dict[str, Query] = {"op6_line_dedup": op6_line_dedup}
+QUERIES: dict[str, Query] = {
+    "op6_line_dedup": op6_line_dedup,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+}
 TWINS: dict[str, str] = {"op6_line_dedup": OP6_SQL}
