@@ -4,7 +4,7 @@ import numpy as np
 
 from docweave.llm import ngram_join
 from docweave.llm.graph import components
-from tests.llm.conftest import EDGE_TEXTS
+from llm.conftest import EDGE_TEXTS
 
 
 def brute(rows, k, percent):
