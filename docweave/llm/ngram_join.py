@@ -4,7 +4,8 @@ The document by n-gram incidence matrix A is never multiplied whole. Rows with t
 are one class. Two sets can only reach the similarity ``t`` if their prefixes, the smallest hashes of
 each set in one global order, share ``need`` hashes (a bound that follows from the set sizes alone); so
 only hashes found in the prefixes of two classes matter. Every such hash sends its classes to the block
-named by its smallest class: classes that share a prefix hash share a block. A block of more than
+named by its smallest class: classes that share a prefix hash share a block, and a row leaves the blocks
+in which it has too few of its hashes to be needed there. A block of more than
 ``BLOCK_ROWS`` rows or ``BLOCK_NGRAMS`` n-grams is split into parts, and each pair of parts is one group.
 
 Inside a group the product A x A' is made from postings: n-grams of one row only are dropped, and with
@@ -20,7 +21,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from docweave.llm.graph import components
 from docweave.llm.words import WordCache, lower_ascii, rolling, split_words, text_chunks, word_code, word_codes
@@ -209,11 +210,20 @@ def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> D
     shared = shared.filter("block <> last").select("gram", "block")
     touched = entries.join(shared, "gram").groupBy(*_SET, "block").agg(F.count(F.lit(1)).alias("hits"))
     touched = touched.join(classes, _SET)
-    # a partner has at least needed(n) n-grams, and the pair shares one prefix hash more than its smaller extra()
-    least = F.expr(f"((n * {percent} + 99) div 100) * {EXTRA_PERCENT} div 100 + 1")
-    rich = touched.groupBy(*_SET).agg(F.sum("hits").alias("hits"), F.first("copies").alias("copies"), F.first("n").alias("n"))
-    rich = rich.filter(F.col("hits") >= least * F.col("copies")).select(*_SET)
-    members = materialize(touched.select(*_SET, "node", "n", "block").join(rich, _SET), "ngram-members")
+    # a partner has at least needed(n) n-grams, and the pair shares more prefix hashes than its smaller extra()
+    more = F.expr(f"((n * {percent} + 99) div 100) * {EXTRA_PERCENT} div 100")
+    of_set = Window.partitionBy(*_SET)
+    poorest_first = of_set.orderBy("hits", "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # if both rows of a pair leave blocks with at most half of those hashes, one hash stays in a common block
+    members = materialize(
+        touched.withColumn("hits", (F.col("hits") / F.col("copies")).cast("long"))
+        .withColumn("more", more)
+        .withColumn("all_hits", F.sum("hits").over(of_set))
+        .withColumn("so_far", F.sum("hits").over(poorest_first))
+        .filter("all_hits > more and so_far > more div 2")
+        .select(*_SET, "node", "n", "block"),
+        "ngram-members",
+    )
 
     blocks = members.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("grams"))
     parts = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_NGRAMS)).cast("int")
