@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import lines, ngram_join, perplexity
+from docweave.llm import lines, mixing, ngram_join, perplexity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup_digest(_table(spark, sf_dir, "documents"))
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("source")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ FROM judged GROUP BY doc_id"""
 
 
 QUERIES: dict[str, Query] = {
+    "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
     "op6_line_dedup": op6_line_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
