@@ -205,11 +205,12 @@ def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> D
         "ngram-classes",
     )
 
+    # both sides of these joins grow with the input: merge joins at every size, split by adaptive execution where skewed
     entries = usable.select(*_SET, F.explode("prefix").alias("gram"))
     shared = entries.groupBy("gram").agg(F.min("k1").alias("block"), F.max("k1").alias("last"))
     shared = shared.filter("block <> last").select("gram", "block")
-    touched = entries.join(shared, "gram").groupBy(*_SET, "block").agg(F.count(F.lit(1)).alias("hits"))
-    touched = touched.join(classes, _SET)
+    touched = entries.join(shared.hint("merge"), "gram").groupBy(*_SET, "block").agg(F.count(F.lit(1)).alias("hits"))
+    touched = touched.join(classes.hint("merge"), _SET)
     # a partner has at least needed(n) n-grams, and the pair shares more prefix hashes than its smaller extra()
     more = F.expr(f"((n * {percent} + 99) div 100) * {EXTRA_PERCENT} div 100")
     of_set = Window.partitionBy(*_SET)
@@ -242,10 +243,10 @@ def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> D
 
     run, schema = _full_sets(k)
     wanted = placed.select("node").distinct()
-    texts = slim.withColumnRenamed("doc_id", "node").join(wanted, "node")
+    texts = slim.withColumnRenamed("doc_id", "node").join(wanted.hint("merge"), "node")
     sets = texts.mapInArrow(run, schema).dropDuplicates(["node", *_SET])
     run, schema = _block(percent)
-    edges = placed.join(sets, ["node", *_SET]).groupBy("block", "p", "q").applyInArrow(run, schema)
+    edges = placed.join(sets.hint("merge"), ["node", *_SET]).groupBy("block", "p", "q").applyInArrow(run, schema)
     linked = components(edges)
     ends = classes.join(linked, "node", "left").select(
         "k1", "k2", F.coalesce("component", "node").alias("_component"), F.lit(True).alias("_class")
