@@ -132,9 +132,9 @@ def dedup_lines(
     runs = LineRuns(spark, fanout, min_docs)
     for number in range(len(cuts) + 1):
         runs.add(hashed.filter(F.col("batch") == number).drop("batch"))
-    repeated = runs.repeated()
+    repeated = materialize(runs.repeated(), "line-verdicts")  # a plain scan, so that a hot key can be split
     dropped = (
-        hashed.join(repeated, _KEYS)
+        hashed.join(repeated.hint("merge"), _KEYS)
         .filter(F.col("doc_id") != F.col("keep"))
         .groupBy(F.col("doc_id").alias("_drop_id"))
         .agg(F.collect_set(F.struct("h1", "h2")).alias("_drop"))
