@@ -1,11 +1,59 @@
-"""From raw documents to a mix: the stages in order, each over what its predecessor kept."""
+"""From raw documents to a mix: the stages in order, each over what its predecessor kept.
 
-STAGES = []
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and read
+again as the next one's documents. All but the last return the columns of ``docs``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity
+from docweave.session import fresh_dir
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and lie inside the perplexity bands of their language."""
+    return perplexity.keep_by_rules(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that other documents hold too."""
+    return lines.dedup_lines(docs).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word n-grams, Jaccard 0.8 or more."""
+    return ngram_join.keep_one_per_component(docs, k=5, percent=80)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    return decontaminate.drop_leaking(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    return mixing.mix_sources(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmark_leaks),
+    ("mixing sources", mix),
+]
+
+# language model, components and block draws are beyond SQL: tests hold run() against brute force
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = fresh_dir(spark, "pipeline-" + name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

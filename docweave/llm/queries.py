@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import lines, mixing, ngram_join, perplexity
+from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = decontaminate.leak_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return report.withColumn("item_ids", F.array_join(F.col("item_ids").cast("array<string>"), ","))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 TWINS: dict[str, str] = {"op6_line_dedup": OP6_SQL}
