@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity, toxicity
+from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return report.withColumn("item_ids", F.array_join(F.col("item_ids").cast("array<string>"), ","))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(_table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
+    "op4_secret_scan": op4_secret_scan,
     "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
