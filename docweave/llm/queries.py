@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity, secrets, toxicity
+from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity, secrets, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(_table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_digest(_table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -70,6 +74,23 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
 
+OP8_SQL = """WITH
+texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+windows AS (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM texts),
+keyed AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS key FROM windows),
+firsts AS (SELECT key, min(doc_id) AS least FROM keyed GROUP BY key),
+covered AS (
+  SELECT DISTINCT k.doc_id, k.i + g.step AS pos
+  FROM keyed k JOIN firsts f ON k.key = f.key, range(0, 13) AS g(step) WHERE f.least < k.doc_id),
+numbered AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM texts),
+kept AS (
+  SELECT n.doc_id, count(c.pos) AS n_removed,
+         string_agg(n.word, ' ' ORDER BY n.pos) FILTER (WHERE c.pos IS NULL) AS words
+  FROM numbered n LEFT JOIN covered c ON n.doc_id = c.doc_id AND n.pos = c.pos GROUP BY n.doc_id)
+SELECT t.doc_id, len(t.words) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+       sha256(coalesce(k.words, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id"""
+
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
@@ -78,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op4_secret_scan": op4_secret_scan,
     "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
-TWINS: dict[str, str] = {"op6_line_dedup": OP6_SQL}
+TWINS: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op8_substring_dedup": OP8_SQL}
