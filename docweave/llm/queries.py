@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity, secrets, substrings, toxicity
+from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity, pii, secrets, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_digest(_table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(_table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -100,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_pii": op9_pii,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 TWINS: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op8_substring_dedup": OP8_SQL}
