@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity, pii, secrets, substrings, toxicity
+from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity, pii, secrets, site_quality, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(_table(spark, sf_dir, "documents"))
 
 
+def op5_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -101,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_scan": op4_secret_scan,
+    "op5_site_quality": op5_site_quality,
     "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
