@@ -3,23 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, StringType, StructType, TimestampType
-
-# Datetime shapes accepted for a date field, first match wins (fixed values).
-DATE_FORMATS = [
-    ("yyyy-MM-dd'T'HH:mm:ss", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"),
-    ("yyyy-MM-dd'T'HH:mm:ss.SSS", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}$"),
-    ("yyyy-MM-dd'T'HH:mm:ssXXX", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$"),
-    ("yyyy-MM-dd'T'HH:mm:ss.SSSXXX", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}(Z|[+-]\d{2}:\d{2})$"),
-    ("yyyy-MM-dd'T'HH:mm", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$"),
-    ("yyyy-MM-dd", r"^\d{4}-\d{2}-\d{2}$"),
-    ("yyyy-MM", r"^\d{4}-\d{2}$"),
-    ("yyyy", r"^\d{4}$"),
-    ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"),
-    ("yyyy/MM/dd", r"^\d{4}/\d{2}/\d{2}$"),
-    ("yyyy/MM", r"^\d{4}/\d{2}$"),
-]
-_EPOCH_MILLIS = r"^-?\d{5,18}$"
+from pyspark.sql.types import DataType, IntegralType, StringType, StructType, TimestampType
+
+# Shapes of a date field (fixed values): a date of one to three parts, ISO times from the hour on with any
+# fraction and zone, a date and time with a blank, and dates with slashes.
+_DASHED = r"^\d{4}(-\d{2}(-\d{2}(T\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?)?)?$"
+_BLANK = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+_SLASHED = r"^\d{4}/\d{2}(/\d{2})?$"
+# epoch milliseconds; four digits are a year
+_EPOCH_MILLIS = r"^(-\d{1,18}|\d{1,3}|\d{5,18})$"
+_WHOLE = r"^[+-]?[0-9]+$"
+_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _DATETIME = ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")
 _DATE = ("yyyy-MM-dd", r"^\d{4}-\d{2}-\d{2}$")
 
@@ -30,13 +24,19 @@ def int_or_zero(value: Column) -> Column:
 
 
 def number_value(value: Column) -> Column:
-    """Text to long; NULL where it is not a whole number."""
-    return value.try_cast("long")
+    """Text to long; NULL where it is not a whole number: no blanks, no decimals, no suffix."""
+    return whole_value(value, "long")
+
+
+def whole_value(value: Column, kind: str | DataType) -> Column:
+    """Text to a whole number type; NULL where it is none or out of range."""
+    return F.when(value.cast("string").rlike(_WHOLE), value.try_cast(kind))
 
 
 def decimal_value(value: Column) -> Column:
-    """Text to double; NULL where it is not a number."""
-    return value.try_cast("double")
+    """Text to double; NULL where it is not a decimal number or beyond the range of doubles."""
+    number = F.when(value.cast("string").rlike(_DECIMAL), value.try_cast("double"))
+    return F.when(F.abs(number) <= F.lit(1.7976931348623157e308), number)
 
 
 def safe_score(value: Column) -> Column:
@@ -50,7 +50,11 @@ def coerce(value: Column, target: DataType) -> Column:
         return F.coalesce(value.cast("string"), F.lit(""))
     if isinstance(target, TimestampType):
         return _parse(value, *_DATETIME)
-    return F.coalesce(value.try_cast(target), F.lit(0).cast(target))
+    if isinstance(target, IntegralType):
+        parsed = whole_value(value, target)
+    else:
+        parsed = F.when(decimal_value(value).isNotNull(), value.try_cast(target))
+    return F.coalesce(parsed, F.lit(0).cast(target))
 
 
 def coerce_rows(df: DataFrame, schema: StructType) -> DataFrame:
@@ -128,10 +132,18 @@ def _reformat(value: Column, pattern: str | None, source: tuple[str, str]) -> Co
 
 
 def multi_format_date(value: Column) -> Column:
-    """Timestamp of a date text in any of the accepted shapes, epoch milliseconds among them."""
-    attempts = [_parse(value, pattern, shape) for pattern, shape in DATE_FORMATS]
-    millis = F.when(value.rlike(_EPOCH_MILLIS), F.timestamp_millis(value.try_cast("long")))
-    return F.coalesce(*attempts, millis)
+    """Timestamp of a date text in any of the accepted shapes, epoch milliseconds among them.
+
+    The shape is tested first, then one cast reads the text; hours without minutes and minutes without seconds are completed for it.
+    """
+    with_minutes = F.regexp_replace(value, r"(T\d{2})(Z|[+-].*)?$", "$1:00$2")
+    completed = F.regexp_replace(with_minutes, r"(T\d{2}:\d{2})(Z|[+-].*)?$", "$1:00$2")
+    iso = F.when(value.contains("T"), F.regexp_replace(completed, ",", ".")).otherwise(value)
+    return (
+        F.when(value.rlike(_DASHED) | value.rlike(_BLANK), iso.try_cast("timestamp"))
+        .when(value.rlike(_SLASHED), F.translate(value, "/", "-").try_cast("timestamp"))
+        .when(value.rlike(_EPOCH_MILLIS), F.timestamp_millis(value.try_cast("long")))
+    )
 
 
 def epoch_to_timestamp(value: Column, unit: str) -> Column:
@@ -144,8 +156,13 @@ def epoch_to_timestamp(value: Column, unit: str) -> Column:
 
 
 def plain_double(value: Column) -> Column:
-    """Shortest text of a double without an exponent."""
+    """Shortest text of a double without an exponent, which only very large and small ones have."""
     text = value.cast("string")
+    short = F.when(text.endswith(".0"), F.substring_index(text, ".", 1)).otherwise(text)
+    return F.when(text.contains("E"), _without_exponent(text)).otherwise(short)
+
+
+def _without_exponent(text: Column) -> Column:
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     body = F.regexp_replace(text, "^-", "")
     digits = F.regexp_replace(F.regexp_replace(F.substring_index(body, "E", 1), r"\.0$", ""), r"\.", "")
@@ -156,9 +173,7 @@ def plain_double(value: Column) -> Column:
         F.concat_ws(".", F.substring(digits, F.lit(1), exponent + 1), F.substring(digits, exponent + 2, F.length(digits)))
     )
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    expanded = F.when(exponent >= 0, large).otherwise(small)
-    plain = F.when(body.contains("E"), expanded).otherwise(F.regexp_replace(body, r"\.0$", ""))
-    return F.concat(sign, plain)
+    return F.concat(sign, F.when(exponent >= 0, large).otherwise(small))
 
 
 def text_key(value: Column, dtype: str) -> Column:

@@ -18,14 +18,25 @@ def _descending(column: str) -> Column:
 
 
 def ordered_ids_and_names(pairs: DataFrame, key: str, id_col: str, name_col: str, ids_as: str, names_as: str) -> DataFrame:
-    """Per key: ids ascending, names in the order of the ids."""
-    entries = F.sort_array(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col(name_col).alias("name"))))
-    grouped = pairs.groupBy(key).agg(entries.alias("_e"))
-    return grouped.select(
+    """Per key: distinct ids ascending, names in the order of the ids."""
+    return _ordered(pairs, key, id_col, name_col, ids_as, names_as)
+
+
+def _ordered(pairs, key, id_col, name_col, ids_as, names_as, standard_col=None, standard_as=None) -> DataFrame:
+    """One aggregation, so one shuffle: the sets are built before it, which collapses repeated pairs of a hot key."""
+    aggregates = [F.sort_array(F.collect_set(F.struct(F.col(id_col).alias("id"), F.col(name_col).alias("name")))).alias("_e")]
+    if standard_col:
+        of_id = F.struct(F.col(standard_col).alias("standard"), F.col(id_col).alias("id"))
+        aggregates.append(F.sort_array(F.collect_set(of_id)).alias("_s"))
+    columns = [
         key,
         F.transform("_e", lambda e: e["id"]).alias(ids_as),
         F.transform("_e", lambda e: e["name"]).alias(names_as),
-    )
+    ]
+    if standard_col:
+        standards = F.filter(F.transform("_s", lambda s: s["standard"]), lambda s: s.isNotNull())
+        columns.append(standards.alias(standard_as))
+    return pairs.groupBy(key).agg(*aggregates).select(*columns)
 
 
 def bridge_enrich(
@@ -41,19 +52,8 @@ def bridge_enrich(
     standard_as: str | None = None,
 ) -> DataFrame:
     """Aligned id and name arrays per document; the standard ids are sorted on their own."""
-    pairs = bridge.select(key, dim_key).distinct().join(dim, dim_key)
-    aggregates = [
-        F.sort_array(F.collect_list(F.struct(F.col(dim_key).alias("id"), F.col(name_col).alias("name")))).alias("_e")
-    ]
-    if standard_col:
-        aggregates.append(F.sort_array(F.collect_list(standard_col)).alias(standard_as))
-    grouped = pairs.groupBy(key).agg(*aggregates)
-    columns = [
-        key,
-        F.transform("_e", lambda e: e["id"]).alias(ids_as),
-        F.transform("_e", lambda e: e["name"]).alias(names_as),
-    ]
-    return grouped.select(*columns, *([standard_as] if standard_col else []))
+    pairs = bridge.select(key, dim_key).join(dim, dim_key)
+    return _ordered(pairs, key, dim_key, name_col, ids_as, names_as, standard_col, standard_as)
 
 
 def people_enrich(
@@ -138,14 +138,19 @@ def same_name_sources(
     excluded: dict[int, list[str]] | None = None,
     channel: str | None = None,
     salted: bool = False,
+    population: DataFrame | None = None,
 ) -> DataFrame:
     """Sources of the *other* documents with the same channel and name, sorted.
 
     No pairs are formed: a group is reduced to its distinct sources with the lowest and highest key
     of each. A source belongs to another document unless both equal the document's own key.
-    ``excluded`` lists, per channel, sources that are left out.
+    ``excluded`` lists, per channel, sources that are left out. ``population`` has the documents to compare with
+    where ``base`` is only a part of them; just the groups of ``base`` are read from it.
     """
-    per_source = base.groupBy(*group, source).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    everyone = base
+    if population is not None:
+        everyone = population.select(key, *group, source).join(base.select(*group).distinct(), group, "left_semi")
+    per_source = everyone.groupBy(*group, source).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
     entry = F.struct(F.col(source).alias("source"), F.col("lo"), F.col("hi"))
     per_group = per_source.groupBy(*group).agg(F.sort_array(F.collect_list(entry)).alias("_sources"))
     joined = salted_join(base, per_group, group) if salted else base.join(per_group, group, "left")

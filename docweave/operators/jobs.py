@@ -39,7 +39,7 @@ def parse_jobs(jobs: DataFrame, member: str = "member", apps: list[str] | None =
     reason = (
         F.when(F.size("_parts") != 2, "format")
         .when(F.size("_tail") > 2, "retry format")
-        .when((F.size("_tail") == 2) & ~retry.rlike(r"^[+-]?[0-9]+$"), "retry number")
+        .when((F.size("_tail") == 2) & ~(retry.rlike(r"^[+-]?[0-9]+$") & retry.try_cast("int").isNotNull()), "retry number")
         .when(~ids.rlike(_IDS), "ids")
         .when((F.size("_action") < 2) | ~supported, "action")
         .when(~op.isin("", "delete"), "operation")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docweave.functions.convert import epoch_to_timestamp, multi_format_date
+from docweave.functions.convert import decimal_value, epoch_to_timestamp, multi_format_date, whole_value
 
 # Declared field type -> Spark type (fixed values).
 FIELD_TYPES = {
@@ -22,13 +22,16 @@ _FLOAT_LIMIT = 3.4028234663852886e38
 
 def _fit(value: Column, field_type: str, dtype: str, epoch_unit: str) -> Column:
     if field_type == "float":
-        number = value.try_cast("double")
+        number = decimal_value(value) if dtype == "string" else value.try_cast("double")
         return F.when(F.abs(number) <= _FLOAT_LIMIT, number.cast("float"))
     if field_type == "date" and dtype == "string":
         return multi_format_date(value)
     if field_type == "date" and dtype in ("int", "bigint"):
         return epoch_to_timestamp(value, epoch_unit)
-    return value.try_cast(FIELD_TYPES[field_type])
+    target = FIELD_TYPES[field_type]
+    if dtype == "string" and target.endswith("int"):
+        return whole_value(value, target)
+    return value.try_cast(target)
 
 
 def _fit_field(name: str, field_type: str, dtype: str, epoch_unit: str) -> tuple[Column, Column]:

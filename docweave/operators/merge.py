@@ -9,18 +9,22 @@ def upsert_merge(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Partial upsert: columns the update has overwrite, others stay, new keys are inserted.
 
     Presence is a matter of schema: a NULL in an update column overwrites. Both sides have one row
-    per key, so the full outer join has no hot key.
+    per key. The target is only ever the left side of a left join and a semi join, so a small batch is broadcast, by
+    its measured size, and a large target is not shuffled for it; the new keys are found on the batch.
     """
     marked = updates.select(F.col(key), *[F.col(c).alias(f"_u_{c}") for c in updates.columns if c != key], F.lit(True).alias("_u"))
-    joined = target.join(marked, key, "full_outer")
-    columns = [F.col(key)]
+    kept, fresh = [F.col(key)], [F.col(key)]
     for name in [c for c in target.columns if c != key]:
         if name in updates.columns:
-            columns.append(F.when(F.col("_u"), F.col(f"_u_{name}")).otherwise(F.col(name)).alias(name))
+            kept.append(F.when(F.col("_u"), F.col(f"_u_{name}")).otherwise(F.col(name)).alias(name))
+            fresh.append(F.col(name))
         else:
-            columns.append(F.col(name))
-    added = [F.col(f"_u_{c}").alias(c) for c in updates.columns if c not in target.columns]
-    return joined.select(*columns, *added)
+            kept.append(F.col(name))
+            fresh.append(F.lit(None).cast(target.schema[name].dataType).alias(name))
+    added = [c for c in updates.columns if c not in target.columns]
+    known = target.select(key).join(updates.select(key), key, "left_semi")
+    changed = target.join(marked, key, "left").select(*kept, *[F.col(f"_u_{c}").alias(c) for c in added])
+    return changed.union(updates.join(known, key, "left_anti").select(*fresh, *added))
 
 
 def without(base: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -39,7 +43,7 @@ def route_disabled(df: DataFrame, is_full: bool, key: str, flag: str = "disable"
 def apply_batch(target: DataFrame, batch: DataFrame, key: str, is_full: bool = False, flag: str = "disable") -> DataFrame:
     """Deletes, then upserts of one batch with one row per key.
 
-    One full outer join does both: a disabled row removes its key.
+    One merge does both: a disabled row removes its key.
     """
     if is_full:
         return upsert_merge(target, batch, key)

@@ -182,7 +182,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return cdc.compact_jobs(compacted(Tables(spark, sf)))
 
 
-V_JOB = """v_job AS (SELECT pos, base, key, action, CASE pos % 12 WHEN 0 THEN base || key WHEN 1 THEN base || ':' || key || '@1@2' WHEN 2 THEN base || ':' || key || '@x'
+V_JOB = """v_job AS (SELECT pos, base, key, action, CASE pos % 12 WHEN 0 THEN base || key WHEN 1 THEN base || ':' || key || '@1@2' WHEN 2 THEN base || ':' || key || CASE WHEN pos % 24 = 2 THEN '@x' ELSE '@99999999999' END
     WHEN 3 THEN base || ':' WHEN 4 THEN base || ':' || key || ',' WHEN 5 THEN base || '_update:' || key WHEN 6 THEN 'app:' || key
     WHEN 7 THEN base || '_delete:' || key || ',,' || pos || '@2' ELSE base || ':' || key || ',' || pos END AS member FROM v_change)"""
 
@@ -192,7 +192,7 @@ def _jobs(t: Tables) -> DataFrame:
     case = F.col("pos") % 12
     member = (
         F.when(case == 0, F.concat(base, key)).when(case == 1, F.concat(base, F.lit(":"), key, F.lit("@1@2")))
-        .when(case == 2, F.concat(base, F.lit(":"), key, F.lit("@x"))).when(case == 3, F.concat(base, F.lit(":")))
+        .when(case == 2, F.concat(base, F.lit(":"), key, F.when(F.col("pos") % 24 == 2, "@x").otherwise("@99999999999"))).when(case == 3, F.concat(base, F.lit(":")))
         .when(case == 4, F.concat(base, F.lit(":"), key, F.lit(","))).when(case == 5, F.concat(base, F.lit("_update:"), key))
         .when(case == 6, F.concat(F.lit("app:"), key)).when(case == 7, F.concat(base, F.lit("_delete:"), key, F.lit(",,"), pos, F.lit("@2")))
         .otherwise(F.concat(base, F.lit(":"), key, F.lit(","), pos))

@@ -130,13 +130,14 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "b10_number_value",
-    """SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(props->>'$.k' AS BIGINT) END AS number,
-              CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS amount FROM events""",
+    """SELECT event_id, CASE WHEN event_id % 4 < 2 THEN NULL ELSE CAST(props->>'$.k' AS BIGINT) END AS number,
+              CASE WHEN event_id % 5 < 2 THEN NULL ELSE value END AS amount FROM events""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("event_id")
-    number = F.when(key % 4 == 0, "12x").otherwise(F.get_json_object("props", "$.k"))
-    amount = F.when(key % 5 == 0, "-").otherwise(F.col("value").cast("string"))
+    whole, decimal = F.get_json_object("props", "$.k"), F.col("value").cast("string")
+    number = F.when(key % 4 == 0, "12x").when(key % 4 == 1, F.concat(whole, F.lit(" "))).otherwise(whole)
+    amount = F.when(key % 5 == 0, "-").when(key % 5 == 1, F.concat(decimal, F.lit("f"))).otherwise(decimal)
     return Tables(spark, sf).table("events").select(
         "event_id", convert.number_value(number).alias("number"), convert.decimal_value(amount).alias("amount")
     )
@@ -159,9 +160,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("b12_safe_score", "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 0 ELSE value END AS score FROM events")
+@query("b12_safe_score", "SELECT event_id, CASE WHEN event_id % 5 = 0 OR event_id % 7 < 2 THEN 0 ELSE value END AS score FROM events")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    text = F.when(F.col("event_id") % 5 == 0, F.col("event_type")).otherwise(F.col("value").cast("string"))
+    number = F.col("value").cast("string")
+    text = F.when(F.col("event_id") % 5 == 0, F.col("event_type")).when(F.col("event_id") % 7 == 0, F.concat(number, F.lit("d")))
+    text = text.when(F.col("event_id") % 7 == 1, F.concat(F.lit(" "), number)).otherwise(number)
     return Tables(spark, sf).table("events").select("event_id", convert.safe_score(text).alias("score"))
 
 
@@ -228,11 +231,13 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "b18_int_or_zero",
-    """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS BIGINT) ELSE 0 END AS original_id
+    """SELECT p_partkey, CASE WHEN p_partkey % 6 IN (2, 4) THEN CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS BIGINT) ELSE 0 END AS original_id
        FROM part""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    text = F.when(F.col("p_partkey") % 2 == 0, brand_number().cast("string")).otherwise(F.col("p_name"))
+    number = brand_number().cast("string")
+    text = F.when(F.col("p_partkey") % 6 == 0, F.concat(F.lit("\t"), number)).when(F.col("p_partkey") % 2 == 0, number)
+    text = text.otherwise(F.col("p_name"))
     return Tables(spark, sf).table("part").select("p_partkey", convert.int_or_zero(text).alias("original_id"))
 
 
@@ -280,13 +285,13 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "b21_multi_format_date",
-    """SELECT o_orderkey, CASE o_orderkey % 9
+    """SELECT o_orderkey, CASE o_orderkey % 14
                 WHEN 3 THEN CAST(epoch(date_trunc('month', o_orderdate)) AS BIGINT) WHEN 4 THEN CAST(epoch(date_trunc('year', o_orderdate)) AS BIGINT)
-                WHEN 6 THEN CAST(epoch(date_trunc('month', o_orderdate)) AS BIGINT) WHEN 8 THEN NULL
-                ELSE CAST(epoch(o_orderdate) AS BIGINT) END AS seconds FROM orders""",
+                WHEN 6 THEN CAST(epoch(date_trunc('month', o_orderdate)) AS BIGINT) WHEN 8 THEN NULL WHEN 11 THEN CAST(epoch(o_orderdate) AS BIGINT) - 8 * 3600 WHEN 12 THEN 0
+                WHEN 13 THEN NULL ELSE CAST(epoch(o_orderdate) AS BIGINT) END AS seconds FROM orders""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    case, day = F.col("o_orderkey") % 9, F.col("o_orderdate")
+    case, day = F.col("o_orderkey") % 14, F.col("o_orderdate")
     text = (
         F.when(case == 0, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss"))
         .when(case == 1, F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
@@ -296,6 +301,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         .when(case == 5, F.date_format(day, "yyyy/MM/dd"))
         .when(case == 6, F.date_format(day, "yyyy/MM"))
         .when(case == 7, (F.unix_timestamp(day.cast("timestamp")) * 1000).cast("string"))
+        .when(case == 9, F.date_format(day, "yyyy-MM-dd'T'HH"))
+        .when(case == 10, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss.123456'Z'"))
+        .when(case == 11, F.date_format(day, "yyyy-MM-dd'T'HH:mm'+0800'"))
+        .when(case == 12, F.lit("999"))
+        .when(case == 13, F.lit("2023-02-30"))
         .otherwise("31.12.1999")
     )
     parsed = convert.multi_format_date(text)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.operators import enrich
@@ -28,6 +30,7 @@ from docweave.plans.fixtures import (
 from docweave.plans.media import MediaInputs, build_media_document
 from docweave.plans.registry import query, with_views
 from docweave.session import fresh_dir
+from docweave.sources.scans import incremental_scan
 
 
 def _joined(ids: str, names: str, order: str) -> str:
@@ -166,12 +169,11 @@ def media_inputs(t: Tables) -> MediaInputs:
     )
 
 
-@query(
-    "c9_media_document",
-    with_views(
-        V_DOC, V_MEDIA, V_TAG, V_CATEGORY, V_AREA, V_PERSON, V_DIRECTOR, V_CHILD, V_CHANNEL,
-        A_TAG, A_CATEGORY, A_AREA, A_DIRECTOR, A_ACTOR, A_OTHER,
-        select=f"""
+_DOCUMENT_VIEWS = (
+    V_DOC, V_MEDIA, V_TAG, V_CATEGORY, V_AREA, V_PERSON, V_DIRECTOR, V_CHILD, V_CHANNEL,
+    A_TAG, A_CATEGORY, A_AREA, A_DIRECTOR, A_ACTOR, A_OTHER,
+)
+_DOCUMENT = f"""
   SELECT m.id, m.channel_id, CAST(disable AS BIGINT) AS disable, price, name, source, extend, payment_info, language_media_id,
          row_number() OVER (ORDER BY m.id) AS version_id, channel_name, channel_code,
          coalesce(t.a, '') AS tag_ids, coalesce(t.b, '') AS tags,
@@ -185,11 +187,31 @@ def media_inputs(t: Tables) -> MediaInputs:
          greatest(update_time, coalesce(newest, 0)) AS update_time, source AS current_source, CAST(100 AS BIGINT) AS priority
   FROM v_media m LEFT JOIN a_tag t USING (id) LEFT JOIN a_category c USING (id) LEFT JOIN a_area r USING (id)
        LEFT JOIN a_director d USING (id) LEFT JOIN a_actor x USING (id) LEFT JOIN a_other o USING (id)
-       LEFT JOIN v_child USING (id) LEFT JOIN v_channel h ON m.channel_id = h.channel_id""",
+       LEFT JOIN v_child USING (id) LEFT JOIN v_channel h ON m.channel_id = h.channel_id"""
+
+
+@query("c9_media_document", with_views(*_DOCUMENT_VIEWS, select=_DOCUMENT))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return build_media_document(media_inputs(Tables(spark, sf)))
+
+
+CHANGED_NOW, CHANGED_PERIOD = 1_005_000_000, 1500 * 86_400
+
+
+@query(
+    "c9_media_document_incremental",
+    with_views(
+        *_DOCUMENT_VIEWS,
+        select=f"""SELECT * EXCLUDE (version_id) FROM ({_DOCUMENT})
+                   WHERE id IN (SELECT id FROM v_media WHERE update_time > {CHANGED_NOW} - {CHANGED_PERIOD})""",
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return build_media_document(media_inputs(Tables(spark, sf)))
+    """The changed documents alone come out as in a full build."""
+    t = Tables(spark, sf)
+    changed = incremental_scan(t.media, "update_time", CHANGED_NOW, CHANGED_PERIOD)
+    inputs = replace(media_inputs(t), base=changed, all_documents=t.media)
+    return build_media_document(inputs, start_version=None)
 
 
 _COUNTS = """SELECT l_suppkey, count(DISTINCT l_orderkey) AS available_count FROM lineitem JOIN orders ON l_orderkey = o_orderkey

@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docweave.sources.tables import epoch_seconds, read_table, spread_small
+from docweave.sources.tables import epoch_seconds, read_table
 
 
 class Tables:
@@ -28,7 +28,7 @@ class Tables:
         """Documents with the text columns that hold lists and JSON."""
         key = F.col("id")
         number = key.cast("string")
-        return spread_small(self.doc, "id").withColumnsRenamed({"cust_id": "channel_id"}).withColumns(
+        return _spread(self.doc, "id").withColumnsRenamed({"cust_id": "channel_id"}).withColumns(
             {
                 "vip_type": F.when(key % 4 == 0, "").otherwise("vip"),
                 "extend": extend_json(key, number),
@@ -132,11 +132,17 @@ class Tables:
 
     @cached_property
     def log_line(self) -> DataFrame:
-        return log_lines_of(spread_small(self.table("events"), "event_id"))
+        return log_lines_of(_spread(self.table("events"), "event_id"))
 
     @cached_property
     def documents(self) -> DataFrame:
-        return spread_small(self.table("documents").select("doc_id", "text"), "doc_id")
+        return _spread(self.table("documents").select("doc_id", "text"), "doc_id")
+
+
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """One small test file is read by one task; spread its rows where there are fewer files than cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
 
 
 def docs_of(orders: DataFrame) -> DataFrame:

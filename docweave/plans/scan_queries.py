@@ -119,9 +119,10 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-@query("a10_change_feed", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query("a10_change_feed", "SELECT event_id, user_id, event_type, value, props, epoch_us(ts) AS micros FROM events")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return read_change_feed(spark, f"{sf}/events.parquet").drop("ts")
+    feed = read_change_feed(spark, f"{sf}/events.parquet")
+    return feed.withColumn("micros", F.unix_micros(F.col("ts").cast("timestamp"))).drop("ts")
 
 
 @query("a11_log_text", with_views(V_LOG_LINE, select="SELECT line FROM v_log_line"))

@@ -18,9 +18,6 @@ RUNTIME_CONF = {
     # hot join keys are split at run time, even where that costs one more exchange
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # arrays are collected for many keys per task: sorting at once beats hashing that falls back to it,
-    # spills, and leaves the rows in the order the joins on the key want
-    "spark.sql.execution.useObjectHashAggregateExec": "false",
     # a join whose partitions all turn out small is hashed instead of sorting both sides
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }

@@ -6,7 +6,6 @@ import re
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from docweave.operators.numbering import global_index
 
@@ -15,8 +14,6 @@ KEEP_DISABLED = frozenset(
     ["topic", "media", "episode", "video", "anchor", "dispatch", "actor", "play", "appexternal", "dict"]
 )
 
-INLINE_IDS = 1000
-TOP_K_ROWS = 100_000
 _ID_LIST = re.compile(r"\d(?:[\d,]*\d)?")
 _TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
 
@@ -34,14 +31,21 @@ def parse_ids(text: str) -> list[int]:
     return [int(part) for part in cleaned.split(",") if part]
 
 
-def id_list_scan(df: DataFrame, key: str, ids: str | list[int]) -> DataFrame:
-    """Rows whose key is listed: a pushed-down IN for short lists, a semi join for long ones."""
+def id_list_scan(df: DataFrame, key: str, ids: str | list) -> DataFrame:
+    """Rows whose key is listed.
+
+    The list is given in the key's own type. Its range is a plain comparison that reaches the files, the exact test a semi
+    join; both are the same for any length of the list.
+    """
     wanted = parse_ids(ids) if isinstance(ids, str) else list(ids)
-    if len(wanted) <= INLINE_IDS:
-        return df.filter(F.col(key).isin(wanted))
-    schema = StructType([StructField(key, LongType())])
-    listed = df.sparkSession.createDataFrame([(i,) for i in wanted], schema).distinct()
-    return df.join(listed, key, "left_semi")
+    if not wanted:
+        return df.filter(F.lit(False))
+    kind = df.schema[key].dataType
+    ordered = sorted(map(str, wanted)) if kind.typeName() in ("string", "varchar", "char") else sorted(wanted)
+    low, high = (F.lit(str(i)).cast(kind) for i in (ordered[0], ordered[-1]))
+    texts = df.sparkSession.createDataFrame([(str(i),) for i in wanted], "_listed string")
+    listed = texts.select(F.col("_listed").cast(kind).alias(key)).distinct()
+    return df.filter(F.col(key).between(low, high)).join(listed, key, "left_semi")
 
 
 def parse_time_range(start: str, end: str) -> tuple[int, int] | None:
@@ -121,11 +125,9 @@ def split_plan(df: DataFrame, key: str, page_size: int) -> DataFrame:
 
 
 def paged_limit(df: DataFrame, key: str, page_size: int, page_limit: int) -> DataFrame:
-    """The first ``page_limit`` pages in key order.
+    """The first ``page_limit`` pages in key order, cut by global position so that no task holds them.
 
-    A small result is a top-k; a large one is cut by global position so that no task holds it.
+    Rows with equal keys come in the order of the hash of their columns.
     """
-    rows = page_size * page_limit
-    if rows <= TOP_K_ROWS:
-        return df.orderBy(key).limit(rows)
-    return global_index(df, key, name="_no", start=1).filter(F.col("_no") <= rows).drop("_no")
+    numbered = global_index(df, F.col(key), F.xxhash64(*df.columns), name="_no", start=1)
+    return numbered.filter(F.col("_no") <= page_size * page_limit).drop("_no")

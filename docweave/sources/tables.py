@@ -29,17 +29,6 @@ def page_predicates(key: str, starts: list[int]) -> list[str]:
     return ranges + [f"{key} >= {ordered[-1]}"]
 
 
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """A scan with fewer partitions than there are cores, spread over the cores by its keys.
-
-    One small file is read by one task, which then does all the parsing that follows. Scans of many
-    files have enough tasks and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    partitions = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores, *keys) if partitions < cores else df
-
-
 def read_change_feed(
     spark: SparkSession,
     path: str,

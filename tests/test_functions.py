@@ -1,6 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import ByteType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from docweave.functions import convert, json_fields, naming
 from docweave.operators.mapping import conform_to_mapping
@@ -189,3 +189,39 @@ def test_mapping_of_lists_and_dates(frame):
     checked = conform_to_mapping(rows, {"n": "byte", "d": "date", "at": "date"}, epoch_unit="s").collect()
     assert [r["reject_reason"] for r in checked] == ["n", None, "d"]
     assert checked[1]["n"] == [1, 2] and checked[1]["d"] == checked[1]["at"]
+
+
+@pytest.mark.parametrize("text", [" 12", "12 ", "\t7", "2d", "1.5f", "0x1F", "1_000", "", "+", "1e", "."])
+def test_number_texts_are_read_strictly(one, text):
+    assert one(convert.number_value(F.col("v")), v=text) is None
+    assert one(convert.safe_score(F.col("v")), v=text) == 0
+    assert one(convert.coerce(F.col("v"), LongType()), v=text) == 0
+    assert one(convert.coerce(F.col("v"), DoubleType()), v=text) == 0
+
+
+@pytest.mark.parametrize(("text", "number"), [("12", 12.0), ("+7", 7.0), ("-.5", -0.5), ("5.", 5.0), ("1e3", 1000.0), ("1e999", 0.0)])
+def test_decimal_texts(one, text, number):
+    assert one(convert.safe_score(F.col("v")), v=text) == number
+
+
+@pytest.mark.parametrize(
+    ("text", "millis"),
+    [
+        ("2024-01-01T10", 1704103200000),
+        ("2024-01-01T10:00:00.123456", 1704103200123),
+        ("2024-01-01T10:00:00.1Z", 1704103200100),
+        ("2024-01-01T10:00:00+0800", 1704074400000),
+        ("2024-01-01T10:30+08:00", 1704076200000),
+        ("2024-01-01T10Z", 1704103200000),
+        ("2024", 1704067200000),
+        ("999", 999),
+        ("-5", -5),
+        ("2024-02-30", None),
+        ("2024-1-1", None),
+        ("2024-01-01T25", None),
+        ("2024-01-01 10:00", None),
+        ("now", None),
+    ],
+)
+def test_date_shapes(one, text, millis):
+    assert one(F.unix_millis(convert.multi_format_date(F.col("v"))), v=text) == millis

@@ -125,3 +125,26 @@ def test_first_writer_wins_and_empty_export_keeps_the_file(spark, frame, tmp_pat
 def test_app_view_fills_missing_columns(frame):
     view = merge.app_view({"a": frame([(1, 2)], "id int, x int"), "b": frame([(3, "q")], "id int, y string")})
     assert rows_of(view.select("entity", "id", "x", "y")) == [("a", 1, 2, None), ("b", 3, None, "q")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
+    spark.range(1000).select(F.col("id"), (F.col("id") * 2).alias("v")).write.parquet(str(tmp_path / "target"))
+    target = spark.read.parquet(str(tmp_path / "target"))
+    spark.createDataFrame([(5, -1), (2000, -2)], "id long, v long").write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    merged = merge.upsert_merge(target, batch, "id")
+    assert "hashpartitioning" not in _plan(merged) and "BroadcastHashJoin" in _plan(merged)
+    rows = {r["id"]: r["v"] for r in merged.collect()}
+    assert len(rows) == 1001 and rows[5] == -1 and rows[2000] == -2 and rows[6] == 12
+
+
+def test_merge_adds_and_keeps_columns_of_both_sides(spark):
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id long, name string, n int")
+    batch = spark.createDataFrame([(2, None, True), (3, "c", None)], "id long, name string, extra boolean")
+    merged = merge.upsert_merge(target, batch, "id")
+    assert merged.columns == ["id", "name", "n", "extra"]
+    assert sorted(tuple(r) for r in merged.collect()) == [(1, "a", 1, None), (2, None, 2, True), (3, "c", None, None)]

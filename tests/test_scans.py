@@ -3,7 +3,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from docweave.sources import scans
-from docweave.sources.tables import page_predicates, read_change_feed, spread_small
+from docweave.sources.tables import page_predicates, read_change_feed
 
 
 def test_id_list_is_cleaned_and_checked():
@@ -61,12 +61,25 @@ def test_pages_partition_the_keys(spark, size):
     assert sum(keys.filter(p).count() for p in predicates) == 100
 
 
-def test_page_limit_gives_the_same_rows_either_way(spark, monkeypatch):
-    keys = spark.range(500).select((F.col("id") * 37 % 1009).alias("k"))
-    small = rows_of(scans.paged_limit(keys, "k", 20, 4))
-    monkeypatch.setattr(scans, "TOP_K_ROWS", 10)
-    assert rows_of(scans.paged_limit(keys, "k", 20, 4)) == small
-    assert len(small) == 80
+def test_page_limit_cuts_ties_alike_in_any_order(spark):
+    keys = spark.range(500).select((F.col("id") * 37 % 50).alias("k"), "id")
+    first = rows_of(scans.paged_limit(keys, "k", 20, 4))
+    assert rows_of(scans.paged_limit(keys.repartition(7), "k", 20, 4)) == first
+    assert len(first) == 80 and max(r[0] for r in first) == 7
+
+
+def test_listed_ids_in_the_type_of_the_key(spark):
+    texts = spark.createDataFrame([("7",), ("07",), ("10",), ("x",)], "k string")
+    assert rows_of(scans.id_list_scan(texts, "k", "7,10")) == [("10",), ("7",)]
+    numbers = spark.range(5000).select(F.col("id").cast("int").alias("k"))
+    assert scans.id_list_scan(numbers, "k", list(range(0, 9000, 3))).count() == 1667
+    assert scans.id_list_scan(numbers, "k", []).count() == 0
+
+
+def test_range_of_listed_ids_reaches_the_scan(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey")
+    plan = scans.id_list_scan(orders, "o_orderkey", "3,70")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderkey,3)" in plan and "LessThanOrEqual(o_orderkey,70)" in plan
 
 
 def test_resume_filter_reaches_the_scan(spark):
@@ -80,13 +93,6 @@ def test_streaming_feed_needs_a_schema(spark):
         read_change_feed(spark, "/tmp", streaming=True)
 
 
-def test_small_scan_is_spread_once(spark):
-    rows = spark.range(100).coalesce(1)
-    assert spread_small(rows, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 16)
-    assert spread_small(many, "id") is many
-
-
 def test_time_bounds_reach_the_scan_of_a_timestamp(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_orderdate")
     recent = scans.incremental_scan(orders, "o_orderdate", now=1_000_000_000, period=100_000_000)
