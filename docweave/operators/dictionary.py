@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def dictionary_union(sources: list[tuple[DataFrame, str, str, str]]) -> DataFrame:
@@ -29,15 +29,44 @@ def incremental_dictionary(dictionary: DataFrame, now: int, period: int) -> Data
     return dictionary.filter(F.col("update_time") > now - period)
 
 
+def merge_dictionary(existing: DataFrame, found: DataFrame) -> DataFrame:
+    """An existing dictionary and newly found words; a word that is there keeps its row, whoever finds it again."""
+    fresh = found.join(existing.select("word"), "word", "left_anti")
+    return existing.unionByName(fresh, allowMissingColumns=True)
+
+
+def remove_words(existing: DataFrame, words: DataFrame) -> DataFrame:
+    """The dictionary without the listed words."""
+    return existing.join(words.select("word").distinct(), "word", "left_anti")
+
+
 def export_dictionary(dictionary: DataFrame, path: str) -> bool:
-    """One word per line with CRLF ends. An empty dictionary leaves the old export in place."""
-    words = dictionary.select("word")
-    if words.isEmpty():
+    """One word per line with CRLF ends, in a new version folder that readers see once it is complete.
+
+    The old export stays until then, and for readers that hold it. An empty dictionary leaves it in place.
+    """
+    spark = dictionary.sparkSession
+    version = max(_versions(spark, path), default=-1) + 1
+    folder = f"{path}/words-{version}"
+    dictionary.select("word").write.mode("overwrite").option("lineSep", "\r\n").text(folder)
+    if spark.read.text(folder).isEmpty():
         return False
-    words.write.mode("overwrite").option("lineSep", "\r\n").text(path)
+    target, fs = _file_system(spark, f"{path}/current/{version}")
+    fs.create(target, True).close()
     return True
 
 
-def read_dictionary(spark, path: str) -> DataFrame:
-    """Words of an export."""
-    return spark.read.option("lineSep", "\r\n").text(path).select(F.col("value").alias("word"))
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """Words of the newest complete export."""
+    version = max(_versions(spark, path))
+    return spark.read.option("lineSep", "\r\n").text(f"{path}/words-{version}").select(F.col("value").alias("word"))
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    target, fs = _file_system(spark, f"{path}/current")
+    return [int(s.getPath().getName()) for s in fs.listStatus(target)] if fs.exists(target) else []

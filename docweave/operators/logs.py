@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
 from docweave.functions.json_fields import enclosed, valid_json
@@ -151,11 +151,19 @@ def log_month(ts: Column) -> Column:
     return F.date_format(ts.cast("timestamp") + F.expr("INTERVAL 8 HOURS"), "yyyyMM")
 
 
-def write_monthly(documents: DataFrame, path: str, ts: str = "request_time") -> None:
-    """Documents into a folder per month.
+def write_monthly(documents: DataFrame, path: str, batch: str, ts: str = "request_time") -> None:
+    """The documents of one batch into a folder per month and batch; the same batch again replaces only itself.
 
     The rebalance keeps the files of a month together, splits a month that is too large for a task
     and merges small ones.
     """
     monthly = documents.withColumn("month", log_month(F.col(ts)))
-    monthly.hint("rebalance", F.col("month")).write.mode("append").partitionBy("month").parquet(path)
+    monthly.hint("rebalance", F.col("month")).write.mode("overwrite").partitionBy("month").parquet(f"{path}/batch={batch}")
+
+
+def read_monthly(spark: SparkSession, path: str, month: str | None = None) -> DataFrame:
+    """The documents of all batches or of one month, each id once: an upsert, resolved on read inside the month."""
+    found = spark.read.option("basePath", path).parquet(path).withColumn("month", F.col("month").cast("string"))
+    if month is not None:
+        found = found.filter(F.col("month") == month)
+    return found.drop("batch").dropDuplicates(["month", "id"])

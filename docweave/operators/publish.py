@@ -31,13 +31,27 @@ def read_catalog(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _has_catalog(spark: SparkSession, root: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_catalog")
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _versions(spark: SparkSession, root: str, alias: str) -> DataFrame:
+    return read_catalog(spark, root).filter(F.col("alias") == alias)
+
+
 def _append_catalog(spark: SparkSession, root: str, rows: list[tuple]) -> None:
     spark.createDataFrame(rows, CATALOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_catalog")
 
 
 def publish_snapshot(df: DataFrame, root: str, alias: str, stamp: str) -> DataFrame:
-    """Write a fresh version, then point the alias at it; returns the version as read back."""
+    """Write a fresh version, then point the alias at it; returns the version as read back.
+
+    A stamp that the alias has or had is refused: its readers would lose their files, and a retired one stays retired.
+    """
     spark = df.sparkSession
+    if _has_catalog(spark, root) and not _versions(spark, root, alias).filter(F.col("stamp") == stamp).isEmpty():
+        raise ValueError(f"{alias} already has the stamp {stamp}")
     path = f"{root}/{alias}/{stamp}"
     df.write.mode("overwrite").parquet(path)
     _append_catalog(spark, root, [(alias, stamp, path, "live", int(stamp) * 2)])

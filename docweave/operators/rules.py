@@ -27,6 +27,10 @@ class Rule:
     key_columns: list[str] = field(default_factory=list)
     score_column: str = ""
     strategy: str = "segmented"
+    include_columns: list[str] = field(default_factory=list)
+    exclude_columns: list[str] = field(default_factory=list)
+    date_pattern: str = ""
+    datetime_pattern: str = ""
 
     def __post_init__(self) -> None:
         if not [d for d in self.databases if d] or not [t for t in self.tables if t]:
@@ -70,12 +74,8 @@ def rule_match(catalog: DataFrame, rules: list[Rule]) -> DataFrame:
     return catalog.withColumn("rule_id", F.explode(F.array_compact(F.array(*hits))))
 
 
-def effective_rules(catalog: DataFrame, rules: list[Rule], skip_no_key: bool = True) -> DataFrame:
-    """Tables some rule includes and no rule excludes, with the last including rule.
-
-    ``has_key`` in the catalogue tells whether the table has a primary key; tables without one are
-    skipped, or fail the query.
-    """
+def rule_of(rules: list[Rule]) -> Column:
+    """Number of the last rule that includes a change's ``db`` and ``tbl``; NULL where none does or one excludes it."""
     included = [
         F.when(_any_of(F.col("db"), r.databases) & _any_of(F.col("tbl"), r.tables), F.lit(i))
         for i, r in reversed(list(enumerate(rules)))
@@ -83,7 +83,16 @@ def effective_rules(catalog: DataFrame, rules: list[Rule], skip_no_key: bool = T
     excluded = F.lit(False)
     for r in rules:
         excluded = excluded | (_any_of(F.col("db"), r.exclude_databases) & _any_of(F.col("tbl"), r.exclude_tables))
-    matched = catalog.withColumn("rule_id", F.coalesce(*included)).filter(F.col("rule_id").isNotNull() & ~excluded)
+    return F.when(~excluded, F.coalesce(*included))
+
+
+def effective_rules(catalog: DataFrame, rules: list[Rule], skip_no_key: bool = True) -> DataFrame:
+    """Tables some rule includes and no rule excludes, with the last including rule.
+
+    ``has_key`` in the catalogue tells whether the table has a primary key; tables without one are
+    skipped, or fail the query.
+    """
+    matched = catalog.withColumn("rule_id", rule_of(rules)).filter(F.col("rule_id").isNotNull())
     if "has_key" not in catalog.columns:
         return matched
     if skip_no_key:

@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docweave.operators import changes as cdc
 from docweave.operators.jobs import explode_jobs, last_jobs, next_jobs, parse_jobs, queue_depth
-from docweave.operators.rules import apply_rules
+from docweave.operators.dispatch import requests_of, state_of
+from docweave.operators.rules import Rule, apply_rules
 from docweave.operators.strategy import register_strategy, strategy
+from docweave.plans.consume import consume_jobs, taken_ids
 from docweave.plans.fixtures import Tables, V_CHANGE, V_DOC
 from docweave.plans.registry import query, with_views
+from docweave.session import fresh_dir
 
 VALUE = ["user_id", "event_type", "value"]
 MASTER = "cache"
@@ -60,17 +63,19 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "e2_pair_images",
-    "SELECT event_id // 40 AS event, event_id % 40 // 2 AS pair_no, value - 1 AS old_value, value AS new_value, event_type FROM events WHERE event_id % 2 = 1",
+    """SELECT n.event_id // 40 AS event, n.event_id % 40 // 2 AS pair_no, o.value AS old_value, n.value AS new_value,
+              o.event_type AS old_type, n.event_type AS new_type
+       FROM events n LEFT JOIN events o ON o.event_id = n.event_id - 1 WHERE n.event_id % 2 = 1""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """Every odd event is the new image of an update; its old image is built one row before it."""
-    events = Tables(spark, sf).table("events")
-    event, index = F.expr("event_id div 40").alias("event"), (F.col("event_id") % 40).alias("row_idx")
-    new = events.filter("event_id % 2 = 1").select(event, index, "value", "event_type")
-    old = new.select("event", (F.col("row_idx") - 1).alias("row_idx"), (F.col("value") - 1).alias("value"), "event_type")
-    pairs = cdc.pair_images(new.unionByName(old), ["event"], "row_idx", ["value", "event_type"])
+    """Every two rows of the feed are the old and the new image of one update; forty rows are one event."""
+    rows = Tables(spark, sf).table("events").select(
+        F.expr("event_id div 40").alias("event"), (F.col("event_id") % 40).alias("row_idx"), "value", "event_type"
+    )
+    pairs = cdc.pair_images(rows, ["event"], "row_idx", ["value", "event_type"])
     return pairs.select(
-        "event", "pair_no", F.col("old.value").alias("old_value"), F.col("new.value").alias("new_value"), F.col("new.event_type").alias("event_type")
+        "event", "pair_no", F.col("old.value").alias("old_value"), F.col("new.value").alias("new_value"),
+        F.col("old.event_type").alias("old_type"), F.col("new.event_type").alias("new_type"),
     )
 
 
@@ -242,7 +247,98 @@ SAVED_FILE, SAVED_POS = "log.20240102", 50
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return cdc.replay_from(Tables(spark, sf).change, SAVED_FILE, SAVED_POS).select("file", "pos", "action")
+    """The feed is stored in log order first, so the position reaches its files."""
+    path = fresh_dir(spark, "feed")
+    Tables(spark, sf).change.select("file", "pos", "action").repartitionByRange("file", "pos").write.parquet(path)
+    return cdc.replay_from(spark.read.parquet(path), SAVED_FILE, SAVED_POS)
+
+
+RULES = [
+    Rule(["db_app[0-2]_media"], ["FM_click"], structure="string", key_prefix="kv_", exclude_columns=["props"], datetime_pattern="yyyyMMdd"),
+    Rule(["*"], ["fm_view"], structure="hash", master_key="views", include_columns=["value", "user_id"]),
+    Rule(["*"], ["fm_signup"], structure="list", master_key="jobs"),
+    Rule(["*"], ["^fm_err"], structure="set", master_key="errors"),
+    Rule(["*"], ["fm_purchase"], structure="sortedset", master_key="scores", score_column="value"),
+    Rule(["nothing"], ["nothing"], exclude_databases=["db_app1_media"], exclude_tables=["fm_purchase"], structure="string"),
+]
+_NONE = "CAST(NULL AS VARCHAR)"
+
+
+@query(
+    "h_rule_dispatch",
+    with_views(
+        V_CHANGE, V_LAST,
+        "seen AS (SELECT c.*, e.ts FROM v_change c JOIN events e ON c.pos = e.event_id)",
+        select=f"""
+  SELECT 'string' AS structure, 'kv_' || base || ':' || key AS key, {_NONE} AS sub_key,
+         '{{"user_id":' || user_id || ',"event_type":"' || event_type || '","value":' || value || ',"ts":"' || strftime(ts, '%Y%m%d') || '"}}' AS value,
+         CAST(NULL AS DOUBLE) AS score, {_NONE} AS file, CAST(NULL AS BIGINT) AS pos
+  FROM seen WHERE event_type = 'click' QUALIFY row_number() OVER (PARTITION BY base, key ORDER BY pos DESC) = 1
+  UNION ALL SELECT 'hash', 'views', base || ':' || key, '{{"user_id":' || user_id || ',"value":' || value || '}}', NULL, NULL, NULL
+  FROM v_last WHERE event_type = 'view'
+  UNION ALL SELECT 'list', 'jobs', NULL, base || ':' || key, NULL, file, pos FROM v_change WHERE event_type = 'signup'
+  UNION ALL SELECT DISTINCT 'set', 'errors', NULL, base || '_delete:' || key, NULL::DOUBLE, NULL, NULL::BIGINT FROM v_change WHERE event_type = 'error'
+  UNION ALL SELECT 'sortedset', 'scores', NULL, base || ':' || key, value, NULL, NULL FROM v_last
+  WHERE event_type = 'purchase' AND db <> 'db_app1_media'""",
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """All five structures in one run, each table by its rule; one table is excluded for one database."""
+    t = Tables(spark, sf)
+    stamped = t.table("events").select(F.col("event_id").alias("_pos"), "ts")
+    changes = t.change.join(stamped, F.col("pos") == F.col("_pos"))
+    changes = changes.withColumn("row", F.struct("user_id", "event_type", "value", "props", "ts"))
+    return state_of(requests_of(changes, RULES))
+
+
+TAKE, TAKEN_AT = 40, 1_706_400_000
+V_TAKEN = f"""v_app AS (SELECT member, score FROM v_queue WHERE starts_with(member, 'app0_')),
+  v_taken AS (SELECT * FROM v_app ORDER BY score, member LIMIT {TAKE}),
+  v_listed AS (SELECT member, score, split_part(member, ':', 1) AS tag, CAST(unnest(string_split(split_part(member, ':', 2), ',')) AS BIGINT) AS id FROM v_taken),
+  v_ids AS (SELECT id, tag, tag LIKE '%\\_delete' ESCAPE '\\' AS gone, id % 11 = 0 AS failed FROM v_listed
+            QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, member DESC) = 1),
+  v_rows AS (SELECT id, price + 1 AS price FROM v_doc WHERE id IN (SELECT id FROM v_ids WHERE NOT gone AND NOT failed)),
+  v_target AS (SELECT id, price FROM v_doc WHERE id % 5 <> 0)"""
+_JOBS = (V_CHANGE, V_BATCH, V_COMPACT, V_QUEUE, V_DOC, V_TAKEN)
+
+
+def _consumed(spark: SparkSession, sf: str):
+    t = Tables(spark, sf)
+    queue = cdc.compact_jobs(compacted(t)).filter(F.col("member").startswith("app0_")).select("member", "score")
+    source = t.doc.select("id", (F.col("price") + 1).alias("price"))
+    target = t.doc.filter("id % 5 <> 0").select("id", "price")
+    taken, _ = taken_ids(next_jobs(queue, TAKE))
+    ledger = spark.createDataFrame([], "tag string, id bigint, times int, expires_at bigint")
+    return consume_jobs(
+        queue, TAKE, source, target, key="id", ledger=ledger, now=TAKEN_AT, failed=taken.filter("id % 11 = 0"), apps=["app0"]
+    )
+
+
+@query(
+    "h12_consume_jobs",
+    with_views(
+        *_JOBS,
+        select="""SELECT coalesce(d.id, r.id) AS id, CASE WHEN r.id IS NULL THEN d.price ELSE r.price END AS price
+                  FROM v_target d FULL JOIN v_rows r ON d.id = r.id
+                  WHERE coalesce(d.id, r.id) NOT IN (SELECT id FROM v_ids WHERE gone AND NOT failed)""",
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The target after the next jobs of one application."""
+    return _consumed(spark, sf).target
+
+
+@query(
+    "h12_consume_queue",
+    with_views(
+        *_JOBS,
+        select="""SELECT member, score FROM v_app WHERE member NOT IN (SELECT member FROM v_taken)
+                  UNION ALL SELECT tag || ':' || id || '@1', 0 FROM v_ids WHERE failed""",
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left in the queue, with the failed ids queued again."""
+    return _consumed(spark, sf).queue
 
 
 @query("h13_last_position", with_views(V_CHANGE, select="SELECT max(file) AS file, max(pos) AS pos FROM v_change"))

@@ -53,6 +53,6 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Documents through the queue, among payloads that are not JSON."""
     lines = Tables(spark, sf).log_line
-    broken = lines.select(F.substring("line", 1, 20).alias("payload"))
+    broken = lines.select(F.concat(F.lit("{"), "line", F.lit("}")).alias("payload"))
     queued = logs.to_queue(logs.parse_access_log(lines))
     return printable(logs.from_queue(queued.unionByName(broken)))

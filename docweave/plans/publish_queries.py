@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.operators import dictionary, merge, publish
-from docweave.operators.logs import write_monthly
+from docweave.operators.logs import read_monthly, write_monthly
 from docweave.operators.retry import fold_outcomes, retry_ledger
 from docweave.plans.fixtures import Tables, V_CHANGE, V_DOC
 from docweave.plans.registry import query, with_views
@@ -177,8 +177,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_dir(spark, "monthly")
-    write_monthly(Tables(spark, sf).table("events").select("event_id", "user_id", "ts"), path, "ts")
-    return spark.read.parquet(path).select("event_id", "user_id", F.col("month").cast("string").alias("month"))
+    events = Tables(spark, sf).table("events").select(F.col("event_id").alias("id"), "user_id", "ts")
+    write_monthly(events, path, "first", "ts")
+    write_monthly(events.filter("id % 3 = 0"), path, "second", "ts")
+    write_monthly(events, path, "first", "ts")  # the same batch again, and rows of one in the other
+    return read_monthly(spark, path).select(F.col("id").alias("event_id"), "user_id", "month")
 
 
 V_OUTCOME = """v_ledger AS (SELECT base AS tag, key AS id, 1 + count(*) % 3 AS times, max(event_time) + 3600 AS expires_at
@@ -277,6 +280,23 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return dictionary.incremental_dictionary(words(Tables(spark, sf)), 3600, 1800)
 
 
+@query(
+    "g1_dictionary_merge",
+    with_views(
+        V_WORD,
+        select="""SELECT word, CASE WHEN length(word) % 2 = 0 THEN 1::BIGINT ELSE update_time END AS update_time,
+                         CASE WHEN length(word) % 2 = 0 THEN -1::BIGINT ELSE source::BIGINT END AS source FROM v_word WHERE length(word) % 5 <> 0""",
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Every second word is there already and keeps its row; some are removed afterwards."""
+    found = words(Tables(spark, sf))
+    known = found.filter(F.length("word") % 2 == 0)
+    existing = known.select("word", F.lit(1).cast("long").alias("update_time"), F.lit(-1).alias("source"))
+    merged = dictionary.merge_dictionary(existing, found)
+    return dictionary.remove_words(merged, found.filter(F.length("word") % 5 == 0))
+
+
 @query("i9_export_dictionary", with_views(V_WORD, select="SELECT word FROM v_word"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_dir(spark, "dictionary")

@@ -1,7 +1,9 @@
 """Output of a stream as one folder per micro-batch.
 
-A replayed micro-batch overwrites its own folder and nothing else, so at-least-once delivery gives
-exactly-once results without streaming state. Compaction bounds the number of folders.
+A batch is complete when its own commit record is there, an empty file beside the folders that is written last; readers take exactly the
+recorded folders. A replayed micro-batch that is recorded already is left alone, an unfinished one is written
+anew, so at-least-once delivery gives exactly-once results without streaming state, and no reader loses its files.
+Compaction bounds the number of folders.
 """
 
 from __future__ import annotations
@@ -9,8 +11,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 class BatchStore:
@@ -20,18 +22,26 @@ class BatchStore:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        """The rows of one micro-batch; a second write of the same batch replaces the first."""
+        """The rows of one micro-batch; a batch that is complete is not written again."""
+        if self._exists(self._record("batches", batch_id)):
+            return
         rows = batch.select(*self.schema.fieldNames())
-        rows.write.mode("overwrite").parquet(f"{self.root}/batches/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(self._folder(batch_id))
+        self._commit("batches", batch_id)
 
     def read(self) -> DataFrame:
         """All rows: the last compaction and the batches after it."""
+        return self._read_through(max(self.batch_ids(), default=-1))
+
+    def _read_through(self, newest: int) -> DataFrame:
+        """All rows of complete batches up to ``newest``."""
         through = self.compacted_through()
-        after = self._batches().filter(F.col("batch_id") > through).drop("batch_id")
-        if through < 0:
-            return after
-        compacted = self.spark.read.schema(self.schema).parquet(f"{self.root}/compacted/through={through}")
-        return compacted.unionByName(after)
+        paths = [self._folder(b) for b in self.batch_ids() if through < b <= newest]
+        if through >= 0:
+            paths.append(f"{self.root}/compacted/through={through}")
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def compact(self, resolve: Callable[[DataFrame], DataFrame]) -> int:
         """Replace all batches so far by their resolved rows; returns the last batch covered.
@@ -43,8 +53,10 @@ class BatchStore:
         newest = max(self.batch_ids(), default=-1)
         if newest <= previous:
             return previous
-        resolved = resolve(self.read()).select(*self.schema.fieldNames())
+        # a batch that lands meanwhile is neither folded here nor covered by this number
+        resolved = resolve(self._read_through(newest)).select(*self.schema.fieldNames())
         resolved.write.mode("overwrite").parquet(f"{self.root}/compacted/through={newest}")
+        self._commit("compacted", newest)
         for batch_id in self.batch_ids():
             if batch_id <= previous:
                 self.remove_batch(batch_id)
@@ -52,42 +64,46 @@ class BatchStore:
 
     def batch_ids(self) -> list[int]:
         """Numbers of the batches that are complete."""
-        return self._numbers(f"{self.root}/batches", "batch_id")
+        return self._numbers("batches")
 
     def compacted_through(self) -> int:
         """Last batch of the newest complete compaction, -1 where there is none."""
-        return max(self._numbers(f"{self.root}/compacted", "through"), default=-1)
+        return max(self._numbers("compacted"), default=-1)
 
     def batch(self, batch_id: int) -> DataFrame:
         """The rows of one batch."""
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/batches/batch_id={batch_id}")
+        return self.spark.read.schema(self.schema).parquet(self._folder(batch_id))
+
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.root}/batches/batch_id={batch_id}"
+
+    def _record(self, kind: str, number: int) -> str:
+        return f"{self.root}/commits/{kind}/{number}"
+
+    def _commit(self, kind: str, number: int) -> None:
+        target, fs = self._fs(self._record(kind, number))
+        fs.create(target, True).close()
 
-    def _batches(self) -> DataFrame:
-        if not self.batch_ids():
-            return self.spark.createDataFrame([], self.schema).withColumn("batch_id", F.lit(-1).cast("long"))
-        with_id = StructType([*self.schema.fields, StructField("batch_id", LongType())])
-        return self.spark.read.schema(with_id).parquet(f"{self.root}/batches")
+    def _exists(self, path: str) -> bool:
+        target, fs = self._fs(path)
+        return fs.exists(target)
 
     def _fs(self, path: str):
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _numbers(self, folder: str, name: str) -> list[int]:
-        target, fs = self._fs(folder)
+    def _numbers(self, kind: str) -> list[int]:
+        target, fs = self._fs(f"{self.root}/commits/{kind}")
         if not fs.exists(target):
             return []
-        found = []
-        for status in fs.listStatus(target):
-            match = re.fullmatch(rf"{name}=(\d+)", status.getPath().getName())
-            marker = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if match and fs.exists(marker):
-                found.append(int(match.group(1)))
-        return sorted(found)
+        names = [status.getPath().getName() for status in fs.listStatus(target)]
+        return sorted(int(name) for name in names if re.fullmatch(r"\d+", name))
 
     def remove_batch(self, batch_id: int) -> None:
-        """Delete the folder of one batch."""
-        target, fs = self._fs(f"{self.root}/batches/batch_id={batch_id}")
-        fs.delete(target, True)
+        """Delete the record and then the folder of one batch."""
+        for path in (self._record("batches", batch_id), self._folder(batch_id)):
+            target, fs = self._fs(path)
+            fs.delete(target, True)
 
 
 def run_batches(

@@ -88,8 +88,8 @@ def test_a_large_month_is_split_over_files(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     try:
         rows = spark.range(200_000).select(F.col("id"), F.timestamp_seconds(1_704_100_000 + F.col("id") % 3).alias("request_time"))
-        logs.write_monthly(rows.repartition(8), str(tmp_path / "m"))
+        logs.write_monthly(rows.repartition(8), str(tmp_path / "m"), "one")
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list((tmp_path / "m" / "month=202401").glob("part-*"))) > 1
+    assert len(list((tmp_path / "m" / "batch=one" / "month=202401").glob("part-*"))) > 1
     assert spark.read.parquet(str(tmp_path / "m")).count() == 200_000

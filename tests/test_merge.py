@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
@@ -118,7 +119,7 @@ def test_first_writer_wins_and_empty_export_keeps_the_file(spark, frame, tmp_pat
     assert export_dictionary(words, path)
     assert not export_dictionary(words.filter("false"), path)
     assert rows_of(read_dictionary(spark, path)) == [("x",), ("y",)]
-    content = b"".join(p.read_bytes() for p in sorted((tmp_path / "dict").glob("part-*")))
+    content = b"".join(p.read_bytes() for p in sorted((tmp_path / "dict").glob("words-0/part-*")))
     assert content.count(b"\r\n") == 2
 
 
@@ -148,3 +149,26 @@ def test_merge_adds_and_keeps_columns_of_both_sides(spark):
     merged = merge.upsert_merge(target, batch, "id")
     assert merged.columns == ["id", "name", "n", "extra"]
     assert sorted(tuple(r) for r in merged.collect()) == [(1, "a", 1, None), (2, None, 2, True), (3, "c", None, None)]
+
+
+def test_a_stamp_is_published_once(frame, tmp_path):
+    root = str(tmp_path)
+    publish.publish_snapshot(frame([(1,)], "v int"), root, "app_media", "20240101000000")
+    with pytest.raises(ValueError):
+        publish.publish_snapshot(frame([(2,)], "v int"), root, "app_media", "20240101000000")
+    publish.publish_snapshot(frame([(3,)], "v int"), root, "app_actor", "20240101000000")
+
+
+def test_export_keeps_the_old_words_until_the_new_are_complete(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "words")
+    assert export_dictionary(frame([("a",), ("b",)], "word string"), path)
+    held = read_dictionary(spark, path)
+    broken = frame([("c",)], "word string").select(F.when(F.col("word") == "c", F.raise_error(F.lit("lost")).cast("string")).alias("word"))
+    with pytest.raises(Exception, match="lost"):
+        export_dictionary(broken, path)
+    assert rows_of(read_dictionary(spark, path)) == [("a",), ("b",)]
+    assert export_dictionary(frame([("d",)], "word string"), path)
+    assert rows_of(read_dictionary(spark, path)) == [("d",)]
+    assert rows_of(held) == [("a",), ("b",)]
+    assert not export_dictionary(frame([], "word string"), path)
+    assert rows_of(read_dictionary(spark, path)) == [("d",)]

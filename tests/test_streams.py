@@ -119,3 +119,38 @@ def test_refresh_lays_updates_over_the_snapshot(spark, tmp_path):
 
 def test_empty_store_reads_empty(spark):
     assert BatchStore(spark, fresh_dir(spark, "none"), feeds.MEMBER_SCHEMA).read().count() == 0
+
+
+def test_store_reads_recorded_batches_only(spark, tmp_path):
+    rows = spark.range(5)
+    store = BatchStore(spark, str(tmp_path), rows.schema)
+    store.write(rows, 0)
+    rows.write.parquet(f"{tmp_path}/batches/batch_id=1")  # torn: written, but not recorded
+    assert store.read().count() == 5
+    store.write(rows.limit(2), 1)
+    store.write(rows, 1)  # a replay of a complete batch changes nothing
+    assert store.read().count() == 7
+    assert store.compact(lambda df: df.distinct()) == 1
+    assert store.read().count() == 5
+
+
+def test_store_needs_no_success_markers(spark, tmp_path):
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        store = BatchStore(spark, str(tmp_path), spark.range(1).schema)
+        store.write(spark.range(3), 0)
+        assert store.batch_ids() == [0] and store.read().count() == 3
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_batch_that_lands_during_a_compaction_stays(spark, tmp_path):
+    store = BatchStore(spark, str(tmp_path), spark.range(1).schema)
+    store.write(spark.range(3), 0)
+
+    def resolve(df):
+        store.write(spark.range(10, 12), 1)
+        return df
+
+    store.compact(resolve)
+    assert sorted(r["id"] for r in store.read().collect()) == [0, 1, 2, 10, 11]
