@@ -61,12 +61,28 @@ def test_stored_order(spark, tmp_path):
 def test_salted_join_equals_the_plain_one(spark):
     left, right = skewed(spark), spark.range(90, 150).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
     right = right.unionByName(spark.createDataFrame([(7, "hot")], right.schema))
-    assert rows_of(hot_keys(left, ["k"], 10)) == [(7,)]
+    assert rows_of(hot_keys(left, ["k"], 300)) == [(7, 4)]
     for how in ("left", "inner"):
-        salted = salted_join(left, right, ["k"], how, share=10, salts=5)
+        salted = salted_join(left, right, ["k"], how, rows_per_task=300)
         assert rows_of(salted.select("id", "k", "name")) == rows_of(left.join(right, "k", how).select("id", "k", "name"))
 
 
+def test_salts_follow_the_size_of_a_key_and_split_equal_rows(spark):
+    key = F.when(F.col("id") < 6000, 1).when(F.col("id") < 8000, 2).otherwise(F.col("id"))
+    rows = spark.range(10_000).select(key.cast("long").alias("k"))
+    assert rows_of(hot_keys(rows, ["k"], 1000)) == [(1, 6), (2, 2)]
+    right = spark.createDataFrame([(1, "a"), (2, "b")], "k long, n string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = salted_join(rows, right, ["k"], rows_per_task=1000).withColumn("p", F.spark_partition_id())
+        assert joined.filter("k = 1").select("p").distinct().count() > 1  # all rows of the key are equal
+        assert joined.filter("n = 'a'").count() == 6000 and joined.count() == 10_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_salted_join_keeps_null_keys(spark, frame):
     left, right = frame([(1, None), (2, 5)], "id int, k int"), frame([(5, "x")], "k int, n string")
     assert rows_of(salted_join(left, right, ["k"]).select("id", "n")) == [(1, None), (2, "x")]
