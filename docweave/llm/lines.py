@@ -13,6 +13,7 @@ Everything is DataFrame code; only hashes travel until the last step, where each
 from __future__ import annotations
 
 import string
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -45,15 +46,27 @@ def _hashes(key: Column) -> tuple[Column, Column]:
     return F.xxhash64(F.lit(1), key).alias("h1"), F.xxhash64(F.lit(2), key).alias("h2")
 
 
+@dataclass(frozen=True)
+class Run:
+    """One stored run: ``bucketed`` for joins on the hash, ``plain`` for merges.
+
+    A union of bucketed scans is read in columns, partition after partition, but planned as if equal buckets met;
+    merges therefore read the files as plain Parquet and combine before a shuffle of their own.
+    """
+
+    bucketed: DataFrame
+    plain: DataFrame
+
+
 class LineRuns:
     """Levels of sorted runs in the shared folder of the session."""
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT, min_docs: int = MIN_DOCS, buckets: int | None = None):
         self.spark, self.fanout, self.min_docs = spark, fanout, min_docs
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.levels: list[list[DataFrame]] = []
+        self.levels: list[list[Run]] = []
 
-    def _store(self, run: DataFrame) -> DataFrame:
+    def _store(self, run: DataFrame) -> Run:
         path = fresh_dir(self.spark, "line-run")
         name = path.rsplit("/", 1)[1].replace("-", "_")
         (
@@ -64,9 +77,9 @@ class LineRuns:
             .option("path", path)
             .saveAsTable(name)
         )
-        return self.spark.table(name)
+        return Run(self.spark.table(name), self.spark.read.schema(run.schema).parquet(path))
 
-    def runs(self) -> list[DataFrame]:
+    def runs(self) -> list[Run]:
         """All runs, the newest level first."""
         return [run for level in self.levels for run in level]
 
@@ -74,7 +87,7 @@ class LineRuns:
         """Add a batch of ``(doc_id, h1, h2)`` rows whose documents are in no earlier batch."""
         batch = keyed.groupBy(*_KEYS).agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keep"))
         for run in self.runs():
-            decided = run.filter(F.col("n_docs") >= self.min_docs).select(*_KEYS, F.col("keep").alias("_keep"))
+            decided = run.bucketed.filter(F.col("n_docs") >= self.min_docs).select(*_KEYS, F.col("keep").alias("_keep"))
             batch = batch.alias("b").join(
                 decided.alias("r"),
                 (F.col("b.h1") == F.col("r.h1")) & (F.col("b.h2") == F.col("r.h2")) & (F.col("r._keep") > F.col("b.keep")),
@@ -82,7 +95,7 @@ class LineRuns:
             )
         self._push(0, self._store(batch))
 
-    def _push(self, level: int, run: DataFrame) -> None:
+    def _push(self, level: int, run: Run) -> None:
         if level == len(self.levels):
             self.levels.append([])
         self.levels[level].append(run)
@@ -92,9 +105,9 @@ class LineRuns:
             self._push(level + 1, self._store(merged))
 
     @staticmethod
-    def _merge(runs: list[DataFrame]) -> DataFrame:
-        """One row per key; the runs are bucketed alike, so the merge needs no shuffle beyond theirs."""
-        every = reduce(DataFrame.unionByName, runs)
+    def _merge(runs: list[Run]) -> DataFrame:
+        """One row per key."""
+        every = reduce(DataFrame.unionByName, [run.plain for run in runs])
         return every.groupBy(*_KEYS).agg(F.sum("n_docs").alias("n_docs"), F.max("keep").alias("keep"))
 
     def repeated(self) -> DataFrame:
