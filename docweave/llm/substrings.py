@@ -25,10 +25,10 @@ from docweave.llm.words import WordCache, rolling, split_words, text_chunks, wor
 from docweave.session import materialize
 
 WINDOW = 13
-GRAM = 4
+GRAM = 5
 SHARD_WORDS = 300_000
 UNIT_WINDOWS = 200
-_WORDS_A_MINIMIZER = 6
+_WORDS_A_MINIMIZER = 5
 
 
 def minimizers(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,77 +102,70 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Units of texts with shared minimizers: stretches of windows with one leader, single windows of hot ones."""
     cache = WordCache(word_code)
     for batch in batches:
-        ids, marks = batch.column("doc_id").to_pylist(), batch.column("marks").to_pylist()
+        ids = batch.column("doc_id").to_numpy()
         for first, texts in text_chunks(batch, "text"):
+            # who leads a minimizer is the same for every text, so the marks of a chunk are one table
+            marks = batch.column("marks").slice(first, len(texts)).flatten()
+            grams, leaders, hots = (marks.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            grams, place = np.unique(grams, return_index=True)
+            words, starts = split_words(texts)
+            codes = word_codes(words, cache)
+            where, least = minimizers(codes, starts)
+            signed = least.view(np.int64)
+            at = np.minimum(np.searchsorted(grams, signed), len(grams) - 1)
+            hit = grams[at] == signed
+            where, found = where[hit], place[at[hit]]
+            lead, single = leaders[found], hots[found]
+            new = np.ones(len(where), bool)
+            new[1:] = (where[1:] != where[:-1] + 1) | (lead[1:] != lead[:-1]) | (single[1:] != single[:-1])
+            begins = np.flatnonzero(new)
+            owner = np.searchsorted(starts, where, side="right") - 1
             rows = []
-            for i, text in enumerate(texts, first):
-                words, starts = split_words([text])
-                codes = word_codes(words, cache)
-                where, least = minimizers(codes, starts)
-                known = {m["gram"]: (m["leader"], m["hot"]) for m in marks[i]}
-                of_gram = np.array(sorted(known), np.int64)
-                leader = np.array([known[g][0] for g in of_gram.tolist()], np.int64)
-                hot = np.array([known[g][1] for g in of_gram.tolist()], bool)
-                signed = least.view(np.int64)
-                at = np.minimum(np.searchsorted(of_gram, signed), len(of_gram) - 1)
-                hit = of_gram[at] == signed
-                where, lead, single = where[hit], leader[at[hit]], hot[at[hit]]
-                if not len(where):
-                    continue
-                new = np.ones(len(where), bool)
-                new[1:] = (where[1:] != where[:-1] + 1) | (lead[1:] != lead[:-1]) | (single[1:] != single[:-1])
-                begins = np.flatnonzero(new)
-                for a, b in zip(begins.tolist(), np.append(begins[1:], len(where)).tolist()):
-                    step = 1 if single[a] else UNIT_WINDOWS
-                    for s in range(a, b, step):
-                        start, count = int(where[s]), min(step, b - s)
-                        rows.append((ids[i], start, int(lead[s]), *_unit(codes[start : start + count + WINDOW - 1]), bool(single[a])))
-            columns = list(zip(*rows)) if rows else [()] * 7
-            keys = [k1 if h else lead for lead, k1, h in zip(columns[2], columns[3], columns[6])]
+            for a, b in zip(begins.tolist(), np.append(begins[1:], len(where)).tolist()):
+                alone, doc, base = bool(single[a]), int(ids[first + owner[a]]), int(starts[owner[a]])
+                step = 1 if alone else UNIT_WINDOWS
+                for s in range(a, b, step):
+                    start, count = int(where[s]), min(step, b - s)
+                    k1, k2, raw = _unit(codes[start : start + count + WINDOW - 1])
+                    rows.append((doc, start - base, k1 if alone else int(lead[s]), k1, k2, raw))
+            columns = list(zip(*rows)) if rows else [()] * 6
             yield pa.record_batch(
-                [
-                    *[pa.array(c, pa.int64()) for c in (columns[0], columns[1], keys, columns[3], columns[4])],
-                    pa.array(columns[5], pa.binary()),
-                ],
+                [*[pa.array(c, pa.int64()) for c in columns[:5]], pa.array(columns[5], pa.binary())],
                 names=["doc_id", "start", "leader", "u1", "u2", "codes"],
             )
 
 
 def _shard(table: pa.Table) -> pa.Table:
-    """For every unit the smallest document of each of its windows."""
+    """For every unit the smallest document of each of its windows, as (document, windows) runs, and the least of all."""
     units = [np.frombuffer(c, np.uint64) for c in table.column("codes").to_pylist()]
     index = FMIndex(units, WINDOW)
-    least = index.least_owner(table.column("doc").to_numpy())
-    mins = [least[g].astype(np.int64).tobytes() for g in index.groups_of_windows()]
-    return pa.table({"u1": table.column("u1"), "u2": table.column("u2"), "mins": pa.array(mins, pa.binary())})
-
-
-def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, lo, hi): words covered by repeated windows of a unit."""
-    for batch in batches:
-        out = ([], [], [])
-        docs, starts = batch.column("doc_id").to_pylist(), batch.column("start").to_pylist()
-        for doc, start, mins in zip(docs, starts, batch.column("mins").to_pylist()):
-            at = np.flatnonzero(np.frombuffer(mins, np.int64) < doc)
-            if len(at):
-                cut = np.flatnonzero(np.diff(at) > WINDOW)
-                for a, b in zip(at[np.append(0, cut + 1)].tolist(), at[np.append(cut, len(at) - 1)].tolist()):
-                    for column, value in zip(out, (doc, start + a, start + b + WINDOW)):
-                        column.append(value)
-        yield pa.record_batch([pa.array(c, pa.int64()) for c in out], names=["doc_id", "lo", "hi"])
+    owners = index.least_owner(table.column("doc").to_numpy())
+    runs, least = [], []
+    for groups in index.groups_of_windows():
+        docs = owners[groups]
+        edges = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))
+        counts = np.diff(np.append(edges, len(docs)))
+        runs.append(np.stack([docs[edges], counts]).astype(np.int64).tobytes())
+        least.append(int(docs.min()))
+    return pa.table(
+        {"u1": table.column("u1"), "u2": table.column("u2"), "least": pa.array(least, pa.int64()), "runs": pa.array(runs, pa.binary())}
+    )
 
 
 def _take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        spans = batch.column("spans").to_pylist()
+        spans, ids = batch.column("spans").to_pylist(), batch.column("doc_id").to_pylist()
         for first, texts in text_chunks(batch, "text"):
             removed, kept = [], []
-            for text, own in zip(texts, spans[first : first + len(texts)]):
+            for i, text in enumerate(texts, first):
                 words = text.split() if text else []
                 marks = np.zeros(len(words) + 1, np.int64)
-                for s in own or ():
-                    marks[s["lo"]] += 1
-                    marks[s["hi"]] -= 1
+                for unit in spans[i] or ():
+                    docs, counts = np.frombuffer(unit["runs"], np.int64).reshape(2, -1)
+                    ends = unit["start"] + np.cumsum(counts)
+                    again = docs < ids[i]
+                    np.add.at(marks, (ends - counts)[again], 1)
+                    np.add.at(marks, ends[again] + WINDOW - 1, -1)
                 gone = np.cumsum(marks[:-1]) > 0
                 removed.append(int(gone.sum()))
                 kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g))
@@ -207,18 +200,18 @@ def _marked(documents: DataFrame) -> DataFrame:
     return materialize(joined.mapInArrow(_sort_out, schema), "substring-marks")
 
 
-def repeated_spans(marked: DataFrame) -> DataFrame:
-    """(doc_id, lo, hi): word spans, end exclusive, that repeat text of a smaller document."""
+def repeated_units(marked: DataFrame) -> DataFrame:
+    """(doc_id, start, runs): the units with a window that a smaller document holds too."""
     open_ = marked.filter("marks is not null")
     units = materialize(open_.select("doc_id", "text", "marks").mapInArrow(_passages, _UNITS), "substring-units")
     distinct = units.groupBy("u1", "u2", "leader").agg(F.min("doc_id").alias("doc"), F.first("codes").alias("codes"))
     words = units.agg(F.sum(F.octet_length("codes").cast("long"))).first()[0] or 0
     shards = max(1, int(words // 8 // SHARD_WORDS) + 1)
     shard = F.pmod(F.xxhash64("leader"), F.lit(shards)).alias("shard")
-    found = distinct.select("u1", "u2", "doc", "codes", shard).groupBy("shard").applyInArrow(_shard, "u1 long, u2 long, mins binary")
+    found = distinct.select("u1", "u2", "doc", "codes", shard).groupBy("shard").applyInArrow(_shard, "u1 long, u2 long, least long, runs binary")
     found = materialize(found, "substring-minima")
     refs = units.select("doc_id", "start", "u1", "u2").join(found.hint("merge"), ["u1", "u2"])
-    return refs.select("doc_id", "start", "mins").mapInArrow(_repeats, "doc_id long, lo long, hi long")
+    return refs.filter("least < doc_id").select("doc_id", "start", "runs")
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
@@ -230,8 +223,8 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     gives an empty result.
     """
     marked = _marked(documents.select("doc_id", "text"))
-    spans = repeated_spans(marked)
-    spans = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    spans = repeated_units(marked)
+    spans = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("start", "runs")).alias("spans"))
     open_ = marked.filter("marks is not null").select("doc_id", "n_words", "text")
     cut = open_.join(spans, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "n_words", "text", "spans")
     cut = cut.mapInArrow(_take_out, "doc_id long, n_words long, n_removed long, kept string")

@@ -7,11 +7,11 @@ A word is a run of characters other than the six ASCII blanks. Texts are handled
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 CHUNK_BYTES = 2 << 20
 CACHE_WORDS = 1 << 19
@@ -22,7 +22,7 @@ _ODD = np.array(
 
 def word_code(word: bytes) -> int:
     """64 bits of a word, the same on every machine."""
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+    return xxhash.xxh3_64_intdigest(word)
 
 
 class WordCache(dict):
