@@ -55,14 +55,14 @@ def build_session(
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``.
+    """A folder of this application that all executors can reach, below ``spark.checkpoint.dir``.
 
     Only a local session may go without the setting; it gets a temporary folder.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/") + "/docweave"
     context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir", None)
+    if root:
+        return f"{root.rstrip('/')}/docweave/{context.applicationId}"
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app_id = context.applicationId
@@ -83,3 +83,9 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     path = fresh_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete what this application has materialised; results that were not written elsewhere are lost with it."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

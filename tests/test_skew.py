@@ -31,7 +31,9 @@ def test_a_hot_value_spans_partitions(spark):
     try:
         ranged = skewed(spark).repartitionByRange("k", "v", "id").withColumn("p", F.spark_partition_id())
         assert ranged.filter("k = 7").select("p").distinct().count() > 1
-        ranked = rank_in_group(skewed(spark), ["k"], [F.col("v").desc(), F.col("id")], name="r").collect()
+        order = [F.col("v").desc(), F.col("id")]
+        ranked = rank_in_group(skewed(spark), ["k"], order, name="r", rows_per_task=100).collect()
+        assert rows_of(rank_in_group(skewed(spark), ["k"], order, name="r")) == sorted(map(tuple, ranked), key=repr)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     groups = defaultdict(list)
