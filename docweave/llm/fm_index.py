@@ -54,7 +54,8 @@ class WaveletMatrix:
 def _joined(a: np.ndarray, b: np.ndarray, step: int) -> np.ndarray:
     """Ranks of longer prefixes: of ``a`` at each position, then ``b`` ``step`` positions on (cyclic)."""
     width = int(b.max()) + 1
-    return np.unique(a * width + np.roll(b, -step), return_inverse=True)[1]
+    pairs = a.astype(np.int64) * width + np.roll(b, -step)
+    return np.unique(pairs, return_inverse=True)[1].astype(np.int32)
 
 
 class FMIndex:
@@ -68,7 +69,7 @@ class FMIndex:
         self.begins = np.cumsum(self.lengths + 1) - self.lengths - 1
         codes = np.concatenate(sequences)
         _, dense = np.unique(codes, return_inverse=True)
-        self.text = np.zeros(len(codes) + len(sequences), np.int64)  # 0 ends a sequence
+        self.text = np.zeros(len(codes) + len(sequences), np.int32)  # 0 ends a sequence
         owner = np.repeat(np.arange(len(sequences)), self.lengths)
         self.text[np.arange(len(codes)) + owner] = dense + 1
         self.sigma = int(dense.max()) + 2

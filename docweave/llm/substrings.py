@@ -4,7 +4,7 @@ A *window* is ``WINDOW`` words. Shards are cut by content: the minimizer of a wi
 ``GRAM``-word n-grams, so equal windows have equal minimizers. A minimizer found in one document only can't belong to a
 repeated window; the others are owned by the smallest document that has them, their *leader*. Stretches of windows with one leader
 are the passages that the leader's shard indexes and streams: all windows that might be equal meet there, and unique text goes nowhere. A leader whose passages are
-more than a shard holds is split by the windows themselves. Equal passages are one unit with the
+more than a shard holds is split by its minimizers, and a minimizer that is itself too much by the windows. Equal passages are one unit with the
 smallest document of theirs, however many documents hold them; a document finds its units again by their hash.
 
 The index answers, for every window of a unit, which smallest document holds it: the window repeats if that
@@ -28,6 +28,7 @@ WINDOW = 13
 GRAM = 5
 SHARD_WORDS = 300_000
 UNIT_WINDOWS = 200
+MOST_WORDS = 4 * SHARD_WORDS  # of one minimizer before its equal passages are joined
 _WORDS_A_MINIMIZER = 5
 
 
@@ -89,8 +90,8 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-_MARKS = "array<struct<gram: long, leader: long, hot: boolean>>"
-_UNITS = "doc_id long, start long, leader long, u1 long, u2 long, codes binary"
+_MARKS = "array<struct<gram: long, leader: long, level: int>>"
+_UNITS = "doc_id long, start long, shard_key long, u1 long, u2 long, codes binary"
 
 
 def _unit(codes: np.ndarray) -> tuple[int, int, bytes]:
@@ -99,14 +100,15 @@ def _unit(codes: np.ndarray) -> tuple[int, int, bytes]:
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Units of texts with shared minimizers: stretches of windows with one leader, single windows of hot ones."""
+    """Units of texts with shared minimizers: stretches of windows with one leader, or, if that is hot, with one
+    minimizer, or single windows if that is hot too."""
     cache = WordCache(word_code)
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
         for first, texts in text_chunks(batch, "text"):
             # who leads a minimizer is the same for every text, so the marks of a chunk are one table
             marks = batch.column("marks").slice(first, len(texts)).flatten()
-            grams, leaders, hots = (marks.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            grams, leaders, levels = (marks.field(k).to_numpy(zero_copy_only=False) for k in range(3))
             grams, place = np.unique(grams, return_index=True)
             words, starts = split_words(texts)
             codes = word_codes(words, cache)
@@ -115,23 +117,24 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.minimum(np.searchsorted(grams, signed), len(grams) - 1)
             hit = grams[at] == signed
             where, found = where[hit], place[at[hit]]
-            lead, single = leaders[found], hots[found]
+            level = levels[found]
+            key = np.where(level == 0, leaders[found], grams[at[hit]])
             new = np.ones(len(where), bool)
-            new[1:] = (where[1:] != where[:-1] + 1) | (lead[1:] != lead[:-1]) | (single[1:] != single[:-1])
+            new[1:] = (where[1:] != where[:-1] + 1) | (key[1:] != key[:-1]) | (level[1:] != level[:-1])
             begins = np.flatnonzero(new)
             owner = np.searchsorted(starts, where, side="right") - 1
             rows = []
             for a, b in zip(begins.tolist(), np.append(begins[1:], len(where)).tolist()):
-                alone, doc, base = bool(single[a]), int(ids[first + owner[a]]), int(starts[owner[a]])
+                alone, doc, base = level[a] == 2, int(ids[first + owner[a]]), int(starts[owner[a]])
                 step = 1 if alone else UNIT_WINDOWS
                 for s in range(a, b, step):
                     start, count = int(where[s]), min(step, b - s)
                     k1, k2, raw = _unit(codes[start : start + count + WINDOW - 1])
-                    rows.append((doc, start - base, k1 if alone else int(lead[s]), k1, k2, raw))
+                    rows.append((doc, start - base, k1 if alone else int(key[s]), k1, k2, raw))
             columns = list(zip(*rows)) if rows else [()] * 6
             yield pa.record_batch(
                 [*[pa.array(c, pa.int64()) for c in columns[:5]], pa.array(columns[5], pa.binary())],
-                names=["doc_id", "start", "leader", "u1", "u2", "codes"],
+                names=["doc_id", "start", "shard_key", "u1", "u2", "codes"],
             )
 
 
@@ -190,10 +193,12 @@ def _marked(documents: DataFrame) -> DataFrame:
     shared = materialize(shared.filter("leader < last").select("gram", "leader", "n"), "shared-minimizers")
     loads = shared.groupBy("leader").agg(F.sum("n").alias("load"))
     hot = loads.filter(F.col("load") * _WORDS_A_MINIMIZER > SHARD_WORDS).select("leader", F.lit(True).alias("hot"))
-    owned = shared.join(hot, "leader", "left").select("gram", "leader", F.coalesce("hot", F.lit(False)).alias("hot"))
+    too_much = F.col("n") * (_WORDS_A_MINIMIZER + WINDOW - 1) > MOST_WORDS
+    level = F.when(F.col("hot").isNull(), 0).when(too_much, 2).otherwise(1)
+    owned = shared.join(hot, "leader", "left").select("gram", "leader", level.alias("level"))
     # both sides of these joins grow with the input: merge joins at every size, split by adaptive execution where skewed
     marks = prints.join(owned.hint("merge"), "gram").groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_set(F.struct("gram", "leader", "hot")).alias("marks")  # at most the minimizers of one text
+        F.collect_set(F.struct("gram", "leader", "level")).alias("marks")  # at most the minimizers of one text
     )
     joined = documents.join(marks.hint("merge"), F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "marks")
     schema = f"doc_id long, n_words long, kept_sha256 string, text string, marks {_MARKS}"
@@ -204,10 +209,10 @@ def repeated_units(marked: DataFrame) -> DataFrame:
     """(doc_id, start, runs): the units with a window that a smaller document holds too."""
     open_ = marked.filter("marks is not null")
     units = materialize(open_.select("doc_id", "text", "marks").mapInArrow(_passages, _UNITS), "substring-units")
-    distinct = units.groupBy("u1", "u2", "leader").agg(F.min("doc_id").alias("doc"), F.first("codes").alias("codes"))
+    distinct = units.groupBy("u1", "u2", "shard_key").agg(F.min("doc_id").alias("doc"), F.first("codes").alias("codes"))
     words = units.agg(F.sum(F.octet_length("codes").cast("long"))).first()[0] or 0
     shards = max(1, int(words // 8 // SHARD_WORDS) + 1)
-    shard = F.pmod(F.xxhash64("leader"), F.lit(shards)).alias("shard")
+    shard = F.pmod(F.xxhash64("shard_key"), F.lit(shards)).alias("shard")
     found = distinct.select("u1", "u2", "doc", "codes", shard).groupBy("shard").applyInArrow(_shard, "u1 long, u2 long, least long, runs binary")
     found = materialize(found, "substring-minima")
     refs = units.select("doc_id", "start", "u1", "u2").join(found.hint("merge"), ["u1", "u2"])

@@ -57,7 +57,10 @@ def test_hot_leaders_and_many_shards(docs, noise, monkeypatch):
     monkeypatch.setattr(S, "SHARD_WORDS", 200)
     monkeypatch.setattr(S, "UNIT_WINDOWS", 7)
     rows = corpus(noise)
-    assert found(S.remove_repeats(docs(rows))) == brute(rows)
+    expected = brute(rows)
+    for most in (10**9, 600, 0):  # by minimizer, some by window, all by window
+        monkeypatch.setattr(S, "MOST_WORDS", most)
+        assert found(S.remove_repeats(docs(rows))) == expected
 
 
 def test_edge_texts_null_ids_and_empty_table(docs, noise):
