@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MIN_GRAM, MAX_GRAM = 1, 20
 _SEPARATORS = r"[^\p{L}\p{N}]+"
-# Field weights of a search document (fixed values).
-FIELD_WEIGHTS = {"name.pinyin": 20, "alias.pinyin": 20, "name.cn": 10, "alias.cn": 5}
+# Weights of a search document's fields: spelled out name or alias, name, alias (fixed values).
+SPELLED_WEIGHT, NAME_WEIGHT, ALIAS_WEIGHT = 20, 10, 5
 
 
 def tokens(text: Column) -> Column:

@@ -10,7 +10,9 @@ from docweave.operators import enrich
 from docweave.operators.asof import newest_position, position_as_of
 from docweave.operators.merge import without
 from docweave.operators.numbering import assign_versions, index_sort, rank_in_group, running_offsets, shard_of
-from docweave.operators.postings import prefix_index, prefix_postings, weighted_postings
+from docweave.operators.postings import (
+    ALIAS_WEIGHT, NAME_WEIGHT, SPELLED_WEIGHT, prefix_index, prefix_postings, weighted_postings,
+)
 from docweave.operators.rules import Rule, effective_rules, require_rules, rule_match
 from docweave.plans.actor import build_actor_document
 from docweave.plans.column_queries import BRANDS_SQL, PAYMENT_SQL, STRATEGIES_SQL
@@ -365,8 +367,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def assign_stored_positions(stored: DataFrame) -> DataFrame:
-    """Position of each row by file name and row number in the file."""
-    placed = stored.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    """Position of each row by file number and row number in the file."""
+    name = F.col("_metadata.file_name")
+    # numbers of the task and of its file, padded: names alone are out of order from a hundred thousand files on
+    task, part = (F.lpad(F.regexp_extract(name, pattern, 1), 12, "0") for pattern in (r"^part-(\d+)", r"-c(\d+)"))
+    placed = stored.select("*", F.concat(task, part).alias("_file"), F.col("_metadata.row_index").alias("_row"))
     sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     offsets = running_offsets(sizes, "_file", "_n", "_before")  # as many rows as files
     joined = placed.join(F.broadcast(offsets), "_file")
@@ -400,6 +405,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return prefix_postings(Tables(spark, sf).table("part"), "p_partkey", "p_name")
 
 
+FIELDS = {"p_name": SPELLED_WEIGHT, "p_type": NAME_WEIGHT, "p_brand": ALIAS_WEIGHT}
+
+
 @query(
     "k2_weighted_postings",
     f"""SELECT term, doc AS p_partkey, CAST(sum(w) AS BIGINT) AS weight FROM (
@@ -408,4 +416,4 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
           UNION ALL SELECT doc, term, 5 FROM ({_grams('p_partkey', 'p_brand', 'part')})) GROUP BY 1, 2""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return weighted_postings(Tables(spark, sf).table("part"), "p_partkey", {"p_name": 20, "p_type": 10, "p_brand": 5})
+    return weighted_postings(Tables(spark, sf).table("part"), "p_partkey", FIELDS)

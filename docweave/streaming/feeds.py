@@ -38,11 +38,24 @@ MEMBER_SCHEMA = StructType([StructField("member", StringType()), StructField("sc
 EXHAUSTED_SCHEMA = StructType(LEDGER_SCHEMA.fields[:3])
 
 
-def stream_state(changes: DataFrame, store: BatchStore, keys: list[str], checkpoint: str, interval: str | None = None):
-    """Keep the last change per key: each micro-batch is reduced and stored."""
+COMPACT_EVERY = 20
+
+
+def stream_state(
+    changes: DataFrame,
+    store: BatchStore,
+    keys: list[str],
+    checkpoint: str,
+    interval: str | None = None,
+    compact_every: int = COMPACT_EVERY,
+):
+    """Keep the last change per key: each micro-batch is reduced and stored, and every so many are folded,
+    so that a read covers the state and a few batches and not all history."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         store.write(cdc.latest_per_key(batch, keys), batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            compact_state(store, keys)
 
     return run_batches(changes, handle, checkpoint, interval)
 
@@ -76,15 +89,24 @@ def stream_jobs(
     return run_batches(changes, handle, checkpoint, interval)
 
 
-def stream_logs(lines: DataFrame, store: BatchStore, checkpoint: str, slow_ms: float = 0.0, interval: str | None = None):
+def stream_logs(
+    lines: DataFrame,
+    store: BatchStore,
+    checkpoint: str,
+    slow_ms: float = 0.0,
+    interval: str | None = None,
+    compact_every: int = COMPACT_EVERY,
+):
     """Parse log lines into documents.
 
     Equal lines of a micro-batch become one document. Lines that come again later, however late, are
-    stored again and resolved by ``read_logs``; no watermark drops them.
+    stored again and resolved by ``read_logs``, or for good when batches are folded; no watermark drops them.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         store.write(log_upsert(parse_access_log(batch, slow_ms)), batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            store.compact(log_upsert)
 
     return run_batches(lines, handle, checkpoint, interval)
 

@@ -146,3 +146,13 @@ def test_unknown_strategy_fails():
     assert strategy("SEGMENTED") is strategy()
     with pytest.raises(ValueError):
         strategy("unheard")
+
+
+def test_replay_position_reaches_the_files(spark, tmp_path):
+    spark.createDataFrame([("log.1", 5, "a"), ("log.2", 7, "b")], "file string, pos long, action string").write.parquet(str(tmp_path / "feed"))
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    replayed = cdc.replay_from(feed, "log.1", 5)
+    plan = replayed._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "GreaterThan(file,log.1)" in pushed and "GreaterThan(pos,5)" in pushed
+    assert rows_of(replayed.select("pos")) == [(7,)]

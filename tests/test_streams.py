@@ -154,3 +154,15 @@ def test_batch_that_lands_during_a_compaction_stays(spark, tmp_path):
 
     store.compact(resolve)
     assert sorted(r["id"] for r in store.read().collect()) == [0, 1, 2, 10, 11]
+
+
+def test_state_is_folded_every_few_batches(spark, tmp_path):
+    schema = "key string, action string, value int, file string, pos long"
+    for i in range(5):
+        rows = [(str(k), "update", i, "f", i * 10 + k) for k in range(3)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "feed"))
+    store = BatchStore(spark, str(tmp_path / "out"), feed.schema)
+    feeds.stream_state(feed, store, ["key"], str(tmp_path / "checkpoint"), compact_every=2).awaitTermination()
+    assert store.compacted_through() == 3
+    assert sorted((r["key"], r["value"]) for r in feeds.read_state(store, ["key"]).collect()) == [("0", 4), ("1", 4), ("2", 4)]
