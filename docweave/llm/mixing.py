@@ -7,6 +7,7 @@ last shard gets what is missing, so the totals are exact. Slot j of a source tak
 ``p(j mod blocks)`` where p is a pseudorandom permutation of its own for every pass over the source (a
 keyed Feistel network walked until it falls inside). So no block is taken twice before all are taken once.
 
+A source's words miss its target by half a block, and by the short last block of its stream, at most.
 The driver sees one row for each source and, for the offsets, joins one row for each partition and source.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from docweave.llm.words import mix, text_chunks
 from docweave.session import materialize
 
-BLOCK_WORDS = 64
+BLOCK_WORDS = 32
 SHARD_SLOTS = 8192
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5

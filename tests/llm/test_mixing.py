@@ -44,7 +44,7 @@ def test_targets_and_takes(docs, noise):
         assert 0 <= r["taken"] <= 2 * r["size"]
         taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
     for source, target in expected.items():
-        assert abs(taken[source] - target) <= M.BLOCK_WORDS
+        assert abs(taken[source] - target) <= 1.5 * M.BLOCK_WORDS
 
 
 def test_reruns_agree_and_other_partitioning_too(docs, noise):
