@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from docweave.llm.fm_index import FMIndex
 from docweave.llm.words import WordCache, rolling, split_words, text_chunks, word_code, word_codes
-from docweave.session import materialize
+from docweave.session import fresh_dir, materialize
 
 WINDOW = 13
 GRAM = 5
@@ -183,8 +183,8 @@ def _take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _marked(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_words, kept_sha256, text, marks): the last two only where a minimizer is shared."""
+def _marked(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_words, kept_sha256, text, marks): the last two only where a minimizer is shared. Bucketed and plain."""
     with_id = documents.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     prints = with_id.mapInArrow(_fingerprints, "doc_id long, gram long")
     shared = prints.groupBy("gram").agg(
@@ -202,7 +202,17 @@ def _marked(documents: DataFrame) -> DataFrame:
     )
     joined = documents.join(marks.hint("merge"), F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "marks")
     schema = f"doc_id long, n_words long, kept_sha256 string, text string, marks {_MARKS}"
-    return materialize(joined.mapInArrow(_sort_out, schema), "substring-marks")
+    return _by_document(joined.mapInArrow(_sort_out, schema))
+
+
+def _by_document(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows stored once: as a table bucketed by document, whose texts a later join doesn't shuffle, and as plain files."""
+    spark = rows.sparkSession
+    path = fresh_dir(spark, "substring-marks")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.bucketBy(buckets, "doc_id").option("path", path).saveAsTable(name)
+    return spark.table(name), spark.read.schema(rows.schema).parquet(path)
 
 
 def repeated_units(marked: DataFrame) -> DataFrame:
@@ -227,11 +237,11 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     texts that share nothing ``kept`` is null and ``kept_sha256`` has the hash of all their words. An empty table
     gives an empty result.
     """
-    marked = _marked(documents.select("doc_id", "text"))
+    bucketed, marked = _marked(documents.select("doc_id", "text"))
     spans = repeated_units(marked)
     spans = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("start", "runs")).alias("spans"))
-    open_ = marked.filter("marks is not null").select("doc_id", "n_words", "text")
-    cut = open_.join(spans, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "n_words", "text", "spans")
+    open_ = bucketed.filter("marks is not null").select("doc_id", "n_words", "text")
+    cut = open_.join(spans.hint("merge"), F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "n_words", "text", "spans")
     cut = cut.mapInArrow(_take_out, "doc_id long, n_words long, n_removed long, kept string")
     cut = cut.withColumn("kept_sha256", F.sha2("kept", 256))
     whole = marked.filter("marks is null").select(
