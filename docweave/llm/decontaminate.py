@@ -38,6 +38,7 @@ TABLES = 24
 SAMPLE = 3
 SLICE_WORDS = 2_000_000
 _EMBED_CELLS = 1 << 21
+_SIEVE_BITS = 20
 _EDGES = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}|*$%&#<>"
 
 
@@ -129,6 +130,7 @@ class ItemIndex:
         self.lengths = np.array([len(w) for w in self.words], np.int64)
         self.edits = np.array([allowed(len(w), percent) for w in self.words], np.int64)
         self.runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.maybe: dict[int, np.ndarray] = {}  # a sieve in front of the search among the runs
         by_length: dict[int, list] = {}
         for item, words in enumerate(self.words):
             q = run_length(len(words), percent)
@@ -139,6 +141,8 @@ class ItemIndex:
             order = np.argsort(hashes, kind="stable")
             place = np.array([r[1:] for r in rows], np.int64).reshape(-1, 2)[order]
             self.runs[q] = hashes[order], place[:, 0], place[:, 1]
+            self.maybe[q] = np.zeros(1 << _SIEVE_BITS, bool)
+            self.maybe[q][hashes >> np.uint64(64 - _SIEVE_BITS)] = True
         width = int(self.lengths.max()) if len(found) else 0
         padded = np.zeros((len(found), width), np.uint64)
         for row, words in zip(padded, self.words):
@@ -151,10 +155,12 @@ class ItemIndex:
         owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         for q, (hashes, items, offsets) in self.runs.items():
             grams = rolling(codes, q)
-            lo = np.searchsorted(hashes, grams)
-            hit = np.flatnonzero(hashes[np.minimum(lo, len(hashes) - 1)] == grams)
+            hit = np.flatnonzero(self.maybe[q][grams >> np.uint64(64 - _SIEVE_BITS)])
             hit = hit[owner[hit] == owner[hit + q - 1]]
-            lo, hi = lo[hit], np.searchsorted(hashes, grams[hit], side="right")
+            lo = np.searchsorted(hashes, grams[hit])
+            same = hashes[np.minimum(lo, len(hashes) - 1)] == grams[hit]
+            hit, lo = hit[same], lo[same]
+            hi = np.searchsorted(hashes, grams[hit], side="right")
             many = hi - lo
             entry = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             at = np.repeat(hit, many)
