@@ -8,7 +8,8 @@ more than a shard holds is split by its minimizers, and a minimizer that is itse
 smallest document of theirs, however many documents hold them; a document finds its units again by their hash.
 
 The index answers, for every window of a unit, which smallest document holds it: the window repeats if that
-document is smaller than the one at hand. All of it is exact up to collisions of 64-bit word codes.
+document is smaller than the one at hand. All of it is exact up to collisions of the hashes: 128 bits for units, 64 for
+n-grams, and ``CODE_BYTES`` bytes for a word inside of otherwise equal windows.
 """
 
 from __future__ import annotations
@@ -18,16 +19,19 @@ from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from docweave.llm.fm_index import FMIndex
-from docweave.llm.words import WordCache, rolling, split_words, text_chunks, word_code, word_codes
+from docweave.llm.words import WordCache, chunks, rolling, split_words, text_chunks, word_code, word_codes
 from docweave.session import fresh_dir, materialize
 
 WINDOW = 13
 GRAM = 5
 SHARD_WORDS = 300_000
 UNIT_WINDOWS = 200
+CODE_BYTES = 5
 MOST_WORDS = 4 * SHARD_WORDS  # of one minimizer before its equal passages are joined
 _WORDS_A_MINIMIZER = 5
 
@@ -66,27 +70,46 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one: they travel and are stored at half the size."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for first, texts in text_chunks(batch, "text"):
+            packed = [None if t is None else pack.compress(t) for t in texts]
+            yield pa.record_batch(
+                [batch.column("doc_id").slice(first, len(texts)), pa.array(packed, pa.binary())], names=["doc_id", "packed"]
+            )
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes | None]]]:
+    """(first row, texts) of the chunks of a batch."""
+    unpack = zstandard.ZstdDecompressor()
+    packed = batch.column("packed").to_pylist()
+    for start, end in chunks([2 * len(p or b"") for p in packed]):
+        yield start, [None if p is None else unpack.decompress(p) for p in packed[start:end]]
+
+
 def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Finished results of texts without a shared minimizer; the others keep their text."""
     for batch in batches:
         marked = batch.column("marks").is_valid()
-        for first, texts in text_chunks(batch, "text"):
+        for first, texts in _unpacked(batch):
             open_ = marked.slice(first, len(texts)).to_pylist()
-            counts, kept, rest = [], [], []
+            counts, kept = [], []
+            rest = pc.if_else(marked.slice(first, len(texts)), batch.column("packed").slice(first, len(texts)), None)
             for text, again in zip(texts, open_):
                 words = text.split() if text else []
                 counts.append(len(words))
                 kept.append(None if again else sha256(b" ".join(words)).hexdigest())
-                rest.append(text if again else None)
             yield pa.record_batch(
                 [
                     batch.column("doc_id").slice(first, len(texts)),
                     pa.array(counts, pa.int64()),
                     pa.array(kept, pa.string()),
-                    pa.array(rest, pa.binary()).cast(pa.string()),
+                    rest,
                     batch.column("marks").slice(first, len(texts)),
                 ],
-                names=["doc_id", "n_words", "kept_sha256", "text", "marks"],
+                names=["doc_id", "n_words", "kept_sha256", "packed", "marks"],
             )
 
 
@@ -95,8 +118,15 @@ _UNITS = "doc_id long, start long, shard_key long, u1 long, u2 long, codes binar
 
 
 def _unit(codes: np.ndarray) -> tuple[int, int, bytes]:
-    raw = codes.tobytes()
-    return (*np.frombuffer(blake2b(raw, digest_size=16).digest(), np.int64).tolist(), raw)
+    mark = blake2b(codes.tobytes(), digest_size=16).digest()
+    return (*np.frombuffer(mark, np.int64).tolist(), codes.view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES].tobytes())
+
+
+def _codes(raw: bytes) -> np.ndarray:
+    """The low ``CODE_BYTES`` bytes of the word codes of a unit."""
+    full = np.zeros((len(raw) // CODE_BYTES, 8), np.uint8)
+    full[:, :CODE_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, CODE_BYTES)
+    return full.view(np.uint64).ravel()
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +135,7 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = WordCache(word_code)
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
-        for first, texts in text_chunks(batch, "text"):
+        for first, texts in _unpacked(batch):
             # who leads a minimizer is the same for every text, so the marks of a chunk are one table
             marks = batch.column("marks").slice(first, len(texts)).flatten()
             grams, leaders, levels = (marks.field(k).to_numpy(zero_copy_only=False) for k in range(3))
@@ -140,7 +170,7 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shard(table: pa.Table) -> pa.Table:
     """For every unit the smallest document of each of its windows, as (document, windows) runs, and the least of all."""
-    units = [np.frombuffer(c, np.uint64) for c in table.column("codes").to_pylist()]
+    units = [_codes(c) for c in table.column("codes").to_pylist()]
     index = FMIndex(units, WINDOW)
     owners = index.least_owner(table.column("doc").to_numpy())
     runs, least = [], []
@@ -158,7 +188,7 @@ def _shard(table: pa.Table) -> pa.Table:
 def _take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         spans, ids = batch.column("spans").to_pylist(), batch.column("doc_id").to_pylist()
-        for first, texts in text_chunks(batch, "text"):
+        for first, texts in _unpacked(batch):
             removed, kept = [], []
             for i, text in enumerate(texts, first):
                 words = text.split() if text else []
@@ -184,13 +214,14 @@ def _take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _marked(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_words, kept_sha256, text, marks): the last two only where a minimizer is shared. Bucketed and plain."""
+    """(doc_id, n_words, kept_sha256, packed, marks): the last two only where a minimizer is shared. Bucketed and plain."""
     with_id = documents.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     prints = with_id.mapInArrow(_fingerprints, "doc_id long, gram long")
     shared = prints.groupBy("gram").agg(
-        F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")
+        F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n")
     )
-    shared = materialize(shared.filter("leader < last").select("gram", "leader", "n"), "shared-minimizers")
+    # found twice, mostly in two documents; where one document repeats itself its windows find no smaller one
+    shared = materialize(shared.filter("n > 1"), "shared-minimizers")
     loads = shared.groupBy("leader").agg(F.sum("n").alias("load"))
     hot = loads.filter(F.col("load") * _WORDS_A_MINIMIZER > SHARD_WORDS).select("leader", F.lit(True).alias("hot"))
     too_much = F.col("n") * (_WORDS_A_MINIMIZER + WINDOW - 1) > MOST_WORDS
@@ -200,8 +231,9 @@ def _marked(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     marks = prints.join(owned.hint("merge"), "gram").groupBy(F.col("doc_id").alias("_doc")).agg(
         F.collect_set(F.struct("gram", "leader", "level")).alias("marks")  # at most the minimizers of one text
     )
-    joined = documents.join(marks.hint("merge"), F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "marks")
-    schema = f"doc_id long, n_words long, kept_sha256 string, text string, marks {_MARKS}"
+    packed = documents.mapInArrow(_pack, "doc_id long, packed binary")
+    joined = packed.join(marks.hint("merge"), F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "packed", "marks")
+    schema = f"doc_id long, n_words long, kept_sha256 string, packed binary, marks {_MARKS}"
     return _by_document(joined.mapInArrow(_sort_out, schema))
 
 
@@ -218,10 +250,10 @@ def _by_document(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def repeated_units(marked: DataFrame) -> DataFrame:
     """(doc_id, start, runs): the units with a window that a smaller document holds too."""
     open_ = marked.filter("marks is not null")
-    units = materialize(open_.select("doc_id", "text", "marks").mapInArrow(_passages, _UNITS), "substring-units")
+    units = materialize(open_.select("doc_id", "packed", "marks").mapInArrow(_passages, _UNITS), "substring-units")
     distinct = units.groupBy("u1", "u2", "shard_key").agg(F.min("doc_id").alias("doc"), F.first("codes").alias("codes"))
-    words = units.agg(F.sum(F.octet_length("codes").cast("long"))).first()[0] or 0
-    shards = max(1, int(words // 8 // SHARD_WORDS) + 1)
+    size = units.agg(F.sum(F.octet_length("codes").cast("long"))).first()[0] or 0
+    shards = max(1, int(size // CODE_BYTES // SHARD_WORDS) + 1)
     shard = F.pmod(F.xxhash64("shard_key"), F.lit(shards)).alias("shard")
     found = distinct.select("u1", "u2", "doc", "codes", shard).groupBy("shard").applyInArrow(_shard, "u1 long, u2 long, least long, runs binary")
     found = materialize(found, "substring-minima")
@@ -240,8 +272,8 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     bucketed, marked = _marked(documents.select("doc_id", "text"))
     spans = repeated_units(marked)
     spans = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("start", "runs")).alias("spans"))
-    open_ = bucketed.filter("marks is not null").select("doc_id", "n_words", "text")
-    cut = open_.join(spans.hint("merge"), F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "n_words", "text", "spans")
+    open_ = bucketed.filter("marks is not null").select("doc_id", "n_words", "packed")
+    cut = open_.join(spans.hint("merge"), F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "n_words", "packed", "spans")
     cut = cut.mapInArrow(_take_out, "doc_id long, n_words long, n_removed long, kept string")
     cut = cut.withColumn("kept_sha256", F.sha2("kept", 256))
     whole = marked.filter("marks is null").select(
