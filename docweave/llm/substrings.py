@@ -19,7 +19,6 @@ from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -96,7 +95,8 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, texts in _unpacked(batch):
             open_ = marked.slice(first, len(texts)).to_pylist()
             counts, kept = [], []
-            rest = pc.if_else(marked.slice(first, len(texts)), batch.column("packed").slice(first, len(texts)), None)
+            packed = batch.column("packed").slice(first, len(texts)).to_pylist()
+            rest = [p if again else None for p, again in zip(packed, open_)]
             for text, again in zip(texts, open_):
                 words = text.split() if text else []
                 counts.append(len(words))
@@ -106,7 +106,7 @@ def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch.column("doc_id").slice(first, len(texts)),
                     pa.array(counts, pa.int64()),
                     pa.array(kept, pa.string()),
-                    rest,
+                    pa.array(rest, pa.binary()),
                     batch.column("marks").slice(first, len(texts)),
                 ],
                 names=["doc_id", "n_words", "kept_sha256", "packed", "marks"],
