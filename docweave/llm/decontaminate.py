@@ -2,7 +2,7 @@
 
 Texts and items are sequences of word codes. A document leaks an item when one of its windows reaches an edit
 similarity of ``SIMILARITY`` with it: at most ``k = floor((1 - SIMILARITY) * words)`` word edits. Items
-of fewer than ``LEAST_WORDS`` words say nothing and are not searched.
+of fewer than five words allow none and are found where they stand word for word.
 
 The CGK embedding (Chakraborty, Goldenberg, Koucky, 2016) walks through a sequence and repeats its current
 symbol or goes on, as a random function of step and symbol says; two sequences that share the function and are k
@@ -11,10 +11,14 @@ turns that into buckets: a table keeps ``SAMPLE`` positions of one walk, and a w
 all agree. Tables are repeated, each with a walk of its own, until ``TABLES`` of them make the recall (see the tests: above 0.99
 at the full number of edits).
 
-Windows are item-sized and start where they can: k edits leave some run of ``ceil((n - k) / (k + 1))``
-item words intact, so a window near an item holds one of the item's runs of ``q`` words, ``q`` being the smaller
-of that and ``RUN``; the offset of the run in the item gives the window's place up to k words, and the aligned window is
-embedded. Colliding windows are verified by exact semi-global edit distance, which also finds where
+Walks fall out of step over long sequences, so items are embedded as segments of at most ``SEGMENT`` words. Edits that are within the
+item's share can't exceed the share of each segment, so one segment at least is as near to its part of the text as an item of its
+length must be, and finding it is enough: the whole item is verified around it.
+
+Windows are segment-sized and start where they can: k edits leave some run of ``ceil((n - k) / (k + 1))``
+of the segment's ``n`` words intact, so a window near a segment holds one of its runs of ``q`` words, ``q`` being the smaller
+of that and ``RUN``; the offset of the run in the segment gives the window's place up to k words, and the aligned window is
+embedded. The item around a colliding window is verified by exact semi-global edit distance, which also finds where
 the leaked passage begins and ends.
 
 Items are broadcast in slices of at most ``SLICE_WORDS`` words; more items mean more passes.
@@ -32,10 +36,10 @@ from docweave.llm.words import WordCache, mix, rolling, split_words, text_chunks
 from docweave.session import materialize
 
 SIMILARITY_PERCENT = 80
-LEAST_WORDS = 5
 RUN = 3
 TABLES = 24
 SAMPLE = 3
+SEGMENT = 32
 SLICE_WORDS = 2_000_000
 _EMBED_CELLS = 1 << 21
 _SIEVE_BITS = 20
@@ -119,23 +123,27 @@ def best_passage(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 
 class ItemIndex:
-    """Runs and bucket codes of a slice of benchmark items."""
+    """Runs and bucket codes of the segments of a slice of benchmark items."""
 
     def __init__(self, ids: list, texts: list[bytes | None], percent: int = SIMILARITY_PERCENT):
         codes, starts, _ = item_words(texts, WordCache(normal_word))
-        found = [(i, codes[a:b]) for i, a, b in zip(ids, starts[:-1], starts[1:]) if b - a >= LEAST_WORDS]
+        found = [(i, codes[a:b]) for i, a, b in zip(ids, starts[:-1], starts[1:]) if b > a]
         self.percent = percent
         self.ids = [i for i, _ in found]
         self.words = [w for _, w in found]
-        self.lengths = np.array([len(w) for w in self.words], np.int64)
+        cuts = [np.linspace(0, len(w), -(-len(w) // SEGMENT) + 1).astype(np.int64) for w in self.words]
+        self.owner = np.repeat(np.arange(len(found)), [len(c) - 1 for c in cuts])  # item of each segment
+        self.offsets = np.array([a for c in cuts for a in c[:-1]], np.int64)
+        segments = [w[a:b] for w, c in zip(self.words, cuts) for a, b in zip(c[:-1], c[1:])]
+        self.lengths = np.array([len(w) for w in segments], np.int64)
         self.edits = np.array([allowed(len(w), percent) for w in self.words], np.int64)
         self.runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         self.maybe: dict[int, np.ndarray] = {}  # a sieve in front of the search among the runs
         by_length: dict[int, list] = {}
-        for item, words in enumerate(self.words):
+        for segment, words in enumerate(segments):
             q = run_length(len(words), percent)
             for offset, h in enumerate(rolling(words, q)):
-                by_length.setdefault(q, []).append((h, item, offset))
+                by_length.setdefault(q, []).append((h, segment, offset))
         for q, rows in by_length.items():
             hashes = np.array([r[0] for r in rows], np.uint64)
             order = np.argsort(hashes, kind="stable")
@@ -144,16 +152,16 @@ class ItemIndex:
             self.maybe[q] = np.zeros(1 << _SIEVE_BITS, bool)
             self.maybe[q][hashes >> np.uint64(64 - _SIEVE_BITS)] = True
         width = int(self.lengths.max()) if len(found) else 0
-        padded = np.zeros((len(found), width), np.uint64)
-        for row, words in zip(padded, self.words):
+        padded = np.zeros((len(segments), width), np.uint64)
+        for row, words in zip(padded, segments):
             row[: len(words)] = words
         self.buckets = embed(padded, self.lengths)
 
     def windows(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Distinct (text, item, begin) of the item-sized windows that hold a run of the item in its place."""
+        """Distinct (text, segment, begin) of the segment-sized windows that hold a run of the segment in its place."""
         found = []
         owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        for q, (hashes, items, offsets) in self.runs.items():
+        for q, (hashes, segments, offsets) in self.runs.items():
             grams = rolling(codes, q)
             hit = np.flatnonzero(self.maybe[q][grams >> np.uint64(64 - _SIEVE_BITS)])
             hit = hit[owner[hit] == owner[hit + q - 1]]
@@ -164,24 +172,26 @@ class ItemIndex:
             many = hi - lo
             entry = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             at = np.repeat(hit, many)
-            found.append(np.stack([owner[at], items[entry], at - offsets[entry]], axis=1))
+            found.append(np.stack([owner[at], segments[entry], at - offsets[entry]], axis=1))
         return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 3), np.int64)
 
     def search(self, codes: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(text, item, edits, begin, end) of leaked passages, the best of each text and item and place."""
         windows = self.windows(codes, starts)
-        out: dict[tuple[int, int, int], tuple] = {}
+        near = []
         width = int(self.lengths.max()) if len(self.ids) else 0
         step = max(1, _EMBED_CELLS // max(1, width * 8))
         for a in range(0, len(windows), step):
-            part = windows[a : a + step]
-            text, item, begin = part.T
-            lo, n = starts[text], self.lengths[item]
+            text, segment, begin = windows[a : a + step].T
+            lo, n = starts[text], self.lengths[segment]
             at = begin[:, None] + np.arange(width)[None, :]
             inside = (at >= lo[:, None]) & (at < np.minimum(starts[text + 1], begin + n)[:, None])
             cut = np.where(inside, codes[np.clip(at, 0, len(codes) - 1)], np.uint64(0))
-            near = (embed(cut, n) == self.buckets[item]).any(axis=1)
-            for t, i, b in part[near].tolist():
+            met = (embed(cut, n) == self.buckets[segment]).any(axis=1)
+            near.append(np.stack([text, self.owner[segment], begin - self.offsets[segment]], axis=1)[met])
+        out: dict[tuple[int, int, int], tuple] = {}
+        if near:
+            for t, i, b in np.unique(np.concatenate(near), axis=0).tolist():
                 k = int(self.edits[i])
                 left, right = max(int(starts[t]), b - k), min(int(starts[t + 1]), b + len(self.words[i]) + k)
                 edits, x, y = best_passage(self.words[i], codes[left:right])

@@ -73,6 +73,27 @@ def test_recall_and_precision_against_brute_force(spark, docs, noise):
     assert len(found) >= 0.99 * len(true) and len(true) > 80
 
 
+def test_recall_of_long_items_at_full_edits(noise):
+    rng = random.Random(12)
+    for n, trials in [(20, 60), (33, 60), (60, 60), (150, 30), (300, 20), (600, 10)]:
+        found = 0
+        for i in range(trials):
+            item = noise(n, 10_000 + 100 * n + i)
+            text = noise(50, i) + edited(item, D.allowed(n), rng) + noise(50, 500 + i)
+            index = D.ItemIndex([7], [" ".join(item).encode()])
+            codes, starts, _ = D.item_words([" ".join(text).encode()], D.WordCache(D.normal_word))
+            found += bool(index.search(codes, starts))
+        assert found >= 0.98 * trials, n
+
+
+def test_short_items_match_exactly(spark, docs, noise):
+    benchmark = spark.createDataFrame([(1, "alpha"), (2, "beta gamma delta omega"), (3, "...")], ITEM_SCHEMA)
+    around = " ".join(noise(10))
+    texts = [f"{around} Alpha, {around}", f"{around} beta gamma delta omega", f"{around} beta gamma omega", "beta gamma delta"]
+    found = D.find_leaks(docs(list(enumerate(texts))), benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["edits"], r["begin"], r["end"]) for r in found) == [(0, 1, 0, 10, 11), (1, 2, 0, 10, 14)]
+
+
 def test_report_spans_case_punctuation_and_slices(spark, docs, noise):
     item = noise(12, 1)
     text = " ".join(noise(5, 2)) + "\n" + " ".join(w.upper() + "," for w in item) + " | end"
