@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity, pii, secrets, site_quality, substrings, toxicity
+from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity, pii, secrets, site_quality, substrings, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 LINE_VIEWS = """
 split_lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -111,5 +115,6 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 TWINS: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op8_substring_dedup": OP8_SQL}
