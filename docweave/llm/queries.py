@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docweave.llm import decontaminate, lines, mixing, ngram_join, perplexity, pii, secrets, site_quality, substrings, toxicity, whitening
+from docweave.llm import (
+    decontaminate,
+    lines,
+    mixing,
+    ngram_join,
+    perplexity,
+    pii,
+    secrets,
+    site_quality,
+    substrings,
+    token_files,
+    toxicity,
+    whitening,
+)
+from docweave.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +77,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digest(_table(spark, sf_dir, "documents"), fresh_dir(spark, "token-shards"))
+
+
 LINE_VIEWS = """
 split_lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -116,5 +134,6 @@ QUERIES: dict[str, Query] = {
     "op9_pii": op9_pii,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_token_files": op12_token_files,
 }
 TWINS: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op8_substring_dedup": OP8_SQL}
