@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.llm import (
+    conversations,
     decontaminate,
     lines,
     mixing,
@@ -81,6 +82,10 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(_table(spark, sf_dir, "documents"), fresh_dir(spark, "token-shards"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(conversations.damage(_table(spark, sf_dir, "conversations")))
+
+
 LINE_VIEWS = """
 split_lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -135,5 +140,6 @@ QUERIES: dict[str, Query] = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_token_files": op12_token_files,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 TWINS: dict[str, str] = {"op6_line_dedup": OP6_SQL, "op8_substring_dedup": OP8_SQL}
