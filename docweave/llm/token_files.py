@@ -29,8 +29,10 @@ import json
 import os
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +44,9 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from docweave.llm.words import text_chunks
 
 END_ID = 0
-SHARD_IDS = 4 << 20
-BLOCK_IDS = 1 << 18
-CACHE_PIECES = 1 << 20
+SHARD_IDS = 1 << 20
+BLOCK_IDS = 1 << 17
+CACHE_PIECES = 600_000
 LONGEST_KEPT = 64
 MAGIC = b"TOKSHRD1"
 
@@ -68,17 +70,24 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = specials_as_text
+        self.model = self.tokenizer.model
         self.limit = limit
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
         self.cuts = self._cuts()
+        self.feed = self._encode(["\n"])[0]  # not kept with the pieces: alone it is no plain one
 
     def _cuts(self) -> bool:
         """Whether the tokenizer works on parts that never cross a cut before a space or line feed and a word."""
         parts = json.loads(self.tokenizer.to_str())
-        form = parts["pre_tokenizer"] or {}
+        form, model = parts["pre_tokenizer"] or {}, parts["model"]
         byte_level = form.get("type") == "ByteLevel" and form.get("use_regex") and not form.get("add_prefix_space")
-        spaced = any(" " in t["content"] or "\n" in t["content"] or t["lstrip"] or t["rstrip"] for t in parts["added_tokens"])
-        return bool(byte_level) and not spaced and parts["normalizer"] is None
+        bare = model.get("type") == "BPE" and not any(
+            model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "unk_token")
+        )
+        # special tokens inside of a plain word would need a look at every word
+        marked = all(_PLAIN_WORD.fullmatch(t["content"]) is None and not re.search(r"\s", t["content"]) for t in parts["added_tokens"])
+        strips = any(t["lstrip"] or t["rstrip"] for t in parts["added_tokens"])
+        return bool(byte_level) and bare and marked and not strips and parts["normalizer"] is None
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -86,29 +95,60 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return self._encode(texts)
-        return self._join([_pieces(t) for t in texts], texts)
-
-    def _join(self, pieces: list[list[str]], texts: list[str]) -> list[bytes]:
-        fresh = set().union(*pieces).difference(self.known)
-        odd = {p for p in fresh if not _plain(p)}
+        rows = [_pieces(t) for t in texts]
+        ids = dict.fromkeys(chain.from_iterable(rows))
+        odd = self._fill(ids)
         if odd:  # blanks that follow each other: these texts are cut with a look at both sides
-            for i, own in enumerate(pieces):
-                if not odd.isdisjoint(own):
-                    pieces[i] = _CUT.split(texts[i])
-            fresh = set().union(*pieces).difference(self.known)
-        new = list(fresh)
-        self.known.update(zip(new, self._encode(new)))
-        out = [b"".join(map(self.known.__getitem__, own)) for own in pieces]
-        if len(self.known) > self.limit:  # begin anew with what is in use
-            self.known = {p: self.known[p] for p in {"", *set().union(*pieces)}}
-            new = list(self.known)
-        for piece in new:  # a piece that is not plain has to be seen as new each time
-            if piece and (len(piece) > LONGEST_KEPT or not _plain(piece)):
-                del self.known[piece]
+            again = [i for i, row in enumerate(rows) if not odd.isdisjoint(row)]
+            for i in again:
+                rows[i] = _CUT.split(texts[i])
+            more = dict.fromkeys(p for i in again for p in rows[i] if p not in ids)
+            self._fill(more)
+            ids.update(more)
+        return [b"".join(map(ids.__getitem__, row)) for row in rows]
+
+    def _fill(self, ids: dict[str, bytes | None]) -> set[str]:
+        """Put in the ids of pieces; those that are not one word after one blank at most are returned."""
+        ids.update(zip(ids, map(self.known.get, ids)))
+        fresh = [p for p, own in ids.items() if own is None]
+        if len(self.known) + len(fresh) > self.limit:  # begin anew with what is in use
+            self.known = {p: own for p, own in ids.items() if own is not None}
+        others, odd = [], set()
+        for piece in fresh:
+            word = _PLAIN_WORD.fullmatch(piece)
+            if word:
+                ids[piece] = self.known[piece] = self._word(*word.groups())
+            else:
+                others.append(piece)
+        for piece, own in zip(others, self._encode(others)):
+            ids[piece] = own
+            if not _is_plain(piece):
+                odd.add(piece)
+            elif len(piece) <= LONGEST_KEPT:
+                self.known[piece] = own
+        odd.discard("")
+        return odd
+
+    def _word(self, feed: str, letters: str, marks: str) -> bytes:
+        """Ids of a line feed, a run of letters with the space before it, and a run of marks: a part each for the model."""
+        out = self.feed if feed else b""
+        for part in (letters, marks):
+            if part:
+                own = self.known.get(part)
+                if own is None:
+                    spelled = part.replace(" ", _SPACE) if part.isascii() else part.encode().decode("latin-1").translate(_SPELLED)
+                    own = self.known[part] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+                out += own
         return out
 
 
-def _plain(piece: str) -> bool:
+#: Byte-level vocabularies spell a byte that is no visible Latin-1 character as the next character from U+0100 on.
+_SPELLED = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+_SPACE = chr(_SPELLED[ord(" ")])
+_PLAIN_WORD = re.compile("(\n?)( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]{1,40})([.,;:!?]{0,8})")
+
+
+def _is_plain(piece: str) -> bool:
     """One word, after one blank at most."""
     return len(piece.split()) == 1 and not (piece[-1].isspace() or piece[1:2].isspace())
 
