@@ -216,7 +216,7 @@ def _take_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _marked(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_words, kept_sha256, packed, marks): the last two only where a minimizer is shared. Bucketed and plain."""
     with_id = documents.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    prints = with_id.mapInArrow(_fingerprints, "doc_id long, gram long")
+    prints = materialize(with_id.mapInArrow(_fingerprints, "doc_id long, gram long"), "minimizers")
     shared = prints.groupBy("gram").agg(
         F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n")
     )

@@ -29,7 +29,7 @@ def leaks(text, items):
     words = decontaminate.item_words([text.encode()], cache)[0]
     for item in items:
         known = decontaminate.item_words([item.encode()], cache)[0]
-        if len(known) >= decontaminate.LEAST_WORDS and len(words):
+        if len(known) and len(words):  # short items allow no edit: word for word
             if len(np.intersect1d(known, words)) * 2 >= len(set(known.tolist())) and (
                 decontaminate.best_passage(known, words)[0] <= decontaminate.allowed(len(known))
             ):
