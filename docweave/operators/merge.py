@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def upsert_merge(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+def upsert_merge(target: DataFrame, updates: DataFrame, key: str | list[str]) -> DataFrame:
     """Partial upsert: columns the update has overwrite, others stay, new keys are inserted.
 
     Presence is a matter of schema: a NULL in an update column overwrites. Both sides have one row
-    per key. The target is only ever the left side of a left join and a semi join, so a small batch is broadcast, by
+    per key, of one column or several. The target is only ever the left side of a left join and a semi join, so a small batch is broadcast, by
     its measured size, and a large target is not shuffled for it; the new keys are found on the batch.
     """
-    marked = updates.select(F.col(key), *[F.col(c).alias(f"_u_{c}") for c in updates.columns if c != key], F.lit(True).alias("_u"))
-    kept, fresh = [F.col(key)], [F.col(key)]
-    for name in [c for c in target.columns if c != key]:
+    keys = [key] if isinstance(key, str) else key
+    marked = updates.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in updates.columns if c not in keys], F.lit(True).alias("_u"))
+    kept, fresh = [F.col(k) for k in keys], [F.col(k) for k in keys]
+    for name in [c for c in target.columns if c not in keys]:
         if name in updates.columns:
             kept.append(F.when(F.col("_u"), F.col(f"_u_{name}")).otherwise(F.col(name)).alias(name))
             fresh.append(F.col(name))
@@ -22,14 +23,15 @@ def upsert_merge(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
             kept.append(F.col(name))
             fresh.append(F.lit(None).cast(target.schema[name].dataType).alias(name))
     added = [c for c in updates.columns if c not in target.columns]
-    known = target.select(key).join(updates.select(key), key, "left_semi")
-    changed = target.join(marked, key, "left").select(*kept, *[F.col(f"_u_{c}").alias(c) for c in added])
-    return changed.union(updates.join(known, key, "left_anti").select(*fresh, *added))
+    known = target.select(*keys).join(updates.select(*keys), keys, "left_semi")
+    changed = target.join(marked, keys, "left").select(*kept, *[F.col(f"_u_{c}").alias(c) for c in added])
+    return changed.union(updates.join(known, keys, "left_anti").select(*fresh, *added))
 
 
-def without(base: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def without(base: DataFrame, ids: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows whose key is not listed."""
-    return base.join(ids.select(key).distinct(), key, "left_anti")
+    keys = [key] if isinstance(key, str) else key
+    return base.join(ids.select(*keys).distinct(), keys, "left_anti")
 
 
 def route_disabled(df: DataFrame, is_full: bool, key: str, flag: str = "disable") -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from docweave.operators.jobs import explode_jobs, last_jobs, next_jobs, parse_jo
 from docweave.operators.dispatch import requests_of, state_of
 from docweave.operators.rules import Rule, apply_rules
 from docweave.operators.strategy import register_strategy, strategy
-from docweave.plans.consume import consume_jobs, taken_ids
+from docweave.plans.consume import Route, consume_jobs, taken_ids
 from docweave.plans.fixtures import Tables, V_CHANGE, V_DOC
 from docweave.plans.registry import query, with_views
 from docweave.session import fresh_dir
@@ -292,47 +292,58 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 TAKE, TAKEN_AT = 40, 1_706_400_000
-V_TAKEN = f"""v_app AS (SELECT member, score FROM v_queue WHERE starts_with(member, 'app0_')),
-  v_taken AS (SELECT * FROM v_app ORDER BY score, member LIMIT {TAKE}),
+APPS = [f"app{i}" for i in range(3)]
+ENTITIES = ["click", "error", "purchase", "signup", "view"]
+# Every document stands for one of each entity; targets of different entities lack different documents.
+_GROWN = "price + 1 + length(entity)"
+_HELD = "(id + length(entity)) % 5 <> 0"
+V_TAKEN = f"""v_entity AS (SELECT unnest([{", ".join(f"'{e}'" for e in ENTITIES)}]) AS entity),
+  v_taken AS (SELECT member, score FROM v_queue ORDER BY score, member LIMIT {TAKE}),
   v_listed AS (SELECT member, score, split_part(member, ':', 1) AS tag, CAST(unnest(string_split(split_part(member, ':', 2), ',')) AS BIGINT) AS id FROM v_taken),
-  v_ids AS (SELECT id, tag, tag LIKE '%\\_delete' ESCAPE '\\' AS gone, id % 11 = 0 AS failed FROM v_listed
-            QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, member DESC) = 1),
-  v_rows AS (SELECT id, price + 1 AS price FROM v_doc WHERE id IN (SELECT id FROM v_ids WHERE NOT gone AND NOT failed)),
-  v_target AS (SELECT id, price FROM v_doc WHERE id % 5 <> 0)"""
+  v_ids AS (SELECT id, tag, split_part(tag, '_', 1) AS app, split_part(tag, '_', 2) AS entity, split_part(tag, '_', 3) = 'delete' AS gone, id % 11 = 0 AS failed FROM v_listed
+            QUALIFY row_number() OVER (PARTITION BY split_part(tag, '_', 1), split_part(tag, '_', 2), id ORDER BY score DESC, member DESC) = 1),
+  v_app AS (SELECT unnest([{", ".join(f"'{a}'" for a in APPS)}]) AS app),
+  v_rows AS (SELECT app, entity, id, {_GROWN} AS price FROM v_doc JOIN v_ids USING (id) WHERE NOT gone AND NOT failed),
+  v_target AS (SELECT app, entity, id, price FROM v_doc, v_entity, v_app WHERE {_HELD})"""
 _JOBS = (V_CHANGE, V_BATCH, V_COMPACT, V_QUEUE, V_DOC, V_TAKEN)
 
 
 def _consumed(spark: SparkSession, sf: str):
     t = Tables(spark, sf)
-    queue = cdc.compact_jobs(compacted(t)).filter(F.col("member").startswith("app0_")).select("member", "score")
-    source = t.doc.select("id", (F.col("price") + 1).alias("price"))
-    target = t.doc.filter("id % 5 <> 0").select("id", "price")
+    queue = cdc.compact_jobs(compacted(t)).select("member", "score")
+    each = F.explode(F.array(*[F.lit(e) for e in ENTITIES])).alias("entity")
+    rows = t.doc.select("id", "price", each)
+    routes = []
+    for app in APPS:
+        named = rows.withColumn("tag", F.concat(F.lit(app + "_"), "entity"))
+        source = named.select("tag", "id", F.expr(_GROWN).alias("price"))
+        target = named.filter(_HELD).select("tag", "id", "price")
+        routes.append(Route([f"{app}_{e}" for e in ENTITIES], source, target, tag="tag"))
     taken, _ = taken_ids(next_jobs(queue, TAKE))
     ledger = spark.createDataFrame([], "tag string, id bigint, times int, expires_at bigint")
-    return consume_jobs(
-        queue, TAKE, source, target, key="id", ledger=ledger, now=TAKEN_AT, failed=taken.filter("id % 11 = 0"), apps=["app0"]
-    )
+    return consume_jobs(queue, TAKE, routes, ledger=ledger, now=TAKEN_AT, failed=taken.filter("id % 11 = 0"))
 
 
 @query(
     "h12_consume_jobs",
     with_views(
         *_JOBS,
-        select="""SELECT coalesce(d.id, r.id) AS id, CASE WHEN r.id IS NULL THEN d.price ELSE r.price END AS price
-                  FROM v_target d FULL JOIN v_rows r ON d.id = r.id
-                  WHERE coalesce(d.id, r.id) NOT IN (SELECT id FROM v_ids WHERE gone AND NOT failed)""",
+        select="""SELECT app || '_' || entity AS tag, id, CASE WHEN r.price IS NULL THEN d.price ELSE r.price END AS price
+                  FROM v_target d FULL JOIN v_rows r USING (app, entity, id)
+                  WHERE (app, entity, id) NOT IN (SELECT (app, entity, id) FROM v_ids WHERE gone AND NOT failed)""",
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    """The target after the next jobs of one application."""
-    return _consumed(spark, sf).target
+    """The targets of all applications and entities after the next jobs."""
+    targets = _consumed(spark, sf).targets
+    return targets[0].unionByName(targets[1]).unionByName(targets[2])
 
 
 @query(
     "h12_consume_queue",
     with_views(
         *_JOBS,
-        select="""SELECT member, score FROM v_app WHERE member NOT IN (SELECT member FROM v_taken)
+        select="""SELECT member, score FROM v_queue WHERE member NOT IN (SELECT member FROM v_taken)
                   UNION ALL SELECT tag || ':' || id || '@1', 0 FROM v_ids WHERE failed""",
     ),
 )
