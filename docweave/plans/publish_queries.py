@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from docweave.operators import dictionary, merge, publish
 from docweave.operators.logs import read_monthly, write_monthly
 from docweave.operators.retry import fold_outcomes, retry_ledger
+from docweave.operators.shards import ShardedTarget
 from docweave.plans.fixtures import Tables, V_CHANGE, V_DOC
 from docweave.plans.registry import query, with_views
 from docweave.session import fresh_dir
@@ -68,6 +69,18 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return merge.apply_batch(_target(t), _updates(t), "id")
 
 
+@query("i3_apply_batch_sharded", with_views(V_DOC, V_UPDATE, V_MERGED, select=f"SELECT {_SNAPSHOT} FROM v_merged WHERE NOT (touched AND disable <> 0)"))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The target lies in shards; two batches rewrite the shards that they touch."""
+    t = Tables(spark, sf)
+    rows = _target(t)
+    target = ShardedTarget(spark, fresh_dir(spark, "sharded"), rows.schema, ["id"], shards=16, order=["id"]).create(rows)
+    updates = _updates(t)
+    for part in ("id < 10000000", "id >= 10000000"):
+        target.apply(updates.filter(part), lambda old, new: merge.apply_batch(old, new, "id"))
+    return target.read()
+
+
 @query(
     "i4_update_by_ids",
     "SELECT p_partkey, CASE WHEN p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45) THEN 'hot' ELSE p_type END AS p_type FROM part",

@@ -12,10 +12,11 @@ from docweave.plans.log_queries import DOCUMENT_SQL, printable
 from docweave.plans.registry import query, with_views
 from docweave.session import fresh_dir
 from docweave.sources.tables import read_change_feed
-from docweave.streaming.feeds import JOB_SCHEMA, compact_state, log_store, read_logs, read_state, stream_jobs, stream_logs, stream_state
+from docweave.streaming.feeds import JOB_SCHEMA, log_store, read_logs, read_state, state_target, stream_jobs, stream_logs, stream_state
 from docweave.streaming.store import BatchStore
 
 STATE_KEYS = ["base", "key"]
+STATE_SHARDS = 8
 _STATE_COLUMNS = ["base", "key", "file", "pos", "action", "value"]
 _STATE_SQL = with_views(V_CHANGE, V_LAST, select=f"SELECT {', '.join(_STATE_COLUMNS)} FROM v_last WHERE action <> 'delete'")
 
@@ -33,9 +34,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     root = fresh_dir(spark, "state")
     events = _events(spark, f"{sf}/event*.parquet", Tables(spark, sf).table("events"))
     rows = _state_rows(changes_of(events))
-    store = BatchStore(spark, f"{root}/out", rows.schema)
-    stream_state(rows, store, STATE_KEYS, f"{root}/checkpoint").awaitTermination()
-    return read_state(store, STATE_KEYS)
+    target = state_target(spark, f"{root}/out", rows.schema, STATE_KEYS, STATE_SHARDS)
+    stream_state(rows, target, f"{root}/checkpoint").awaitTermination()
+    return read_state(target)
 
 
 @query("l2_stream_jobs", with_views(V_CHANGE, V_BATCH, V_COMPACT, select="SELECT * FROM v_compact"))
@@ -63,10 +64,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     """The feed arrives in three parts; each run goes on where the one before it ended."""
     root = fresh_dir(spark, "resume")
     events = Tables(spark, sf).table("events")
-    store = BatchStore(spark, f"{root}/out", _state_rows(changes_of(events)).schema)
+    target = state_target(spark, f"{root}/out", _state_rows(changes_of(events)).schema, STATE_KEYS, STATE_SHARDS)
     for part in range(3):
         events.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/feed")
         rows = _state_rows(changes_of(_events(spark, f"{root}/feed", events, max_files=4)))
-        stream_state(rows, store, STATE_KEYS, f"{root}/checkpoint").awaitTermination()
-        compact_state(store, STATE_KEYS)
-    return read_state(store, STATE_KEYS)
+        stream_state(rows, target, f"{root}/checkpoint").awaitTermination()
+    return read_state(target)

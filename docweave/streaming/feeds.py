@@ -1,11 +1,12 @@
 """Streaming forms of the state, job, log, retry and refresh operators.
 
-Each stream runs the batch operator on its micro-batch and writes to a ``BatchStore``; readers resolve
-the batches with the same operator. Rate limits are a property of the source (``max_files``).
+A state is a target in shards that each micro-batch is merged into. The other streams run the batch operator on their micro-batch and
+write to a ``BatchStore``; readers resolve the batches with the same operator. Rate limits are a property of the source (``max_files``).
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -13,7 +14,8 @@ from docweave.operators import changes as cdc
 from docweave.operators.logs import LOG_SCHEMA, log_upsert, parse_access_log
 from docweave.operators.merge import apply_batch
 from docweave.operators.retry import MAX_RETRY, TTL_SECONDS, retry_ledger
-from docweave.streaming.store import BatchStore, run_batches
+from docweave.operators.shards import SHARDS, ShardedTarget
+from docweave.streaming.store import BATCH, RUN, BatchStore, run_batches
 
 JOB_SCHEMA = StructType(
     [
@@ -38,36 +40,39 @@ MEMBER_SCHEMA = StructType([StructField("member", StringType()), StructField("sc
 EXHAUSTED_SCHEMA = StructType(LEDGER_SCHEMA.fields[:3])
 
 
-COMPACT_EVERY = 20
+def state_target(spark: SparkSession, root: str, schema: StructType, keys: list[str], shards: int = SHARDS) -> ShardedTarget:
+    """An empty state for ``stream_state``, or the one that is there."""
+    target = ShardedTarget(spark, root, schema, keys, shards)
+    try:
+        spark.read.parquet(root)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        target.create(spark.createDataFrame([], schema))
+    return target
 
 
-def stream_state(
-    changes: DataFrame,
-    store: BatchStore,
-    keys: list[str],
-    checkpoint: str,
-    interval: str | None = None,
-    compact_every: int = COMPACT_EVERY,
-):
-    """Keep the last change per key: each micro-batch is reduced and stored, and every so many are folded,
-    so that a read covers the state and a few batches and not all history."""
+def stream_state(changes: DataFrame, target: ShardedTarget, checkpoint: str, interval: str | None = None):
+    """Keep the last change per key: each micro-batch is reduced and laid over the shards it touches.
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        store.write(cdc.latest_per_key(batch, keys), batch_id)
-        if (batch_id + 1) % compact_every == 0:
-            compact_state(store, keys)
+    The last change is the one with the highest position, so a batch that comes again, or feeds that are read anew, change nothing.
+    Deletes stay as rows, so that nothing older comes back.
+    """
 
-    return run_batches(changes, handle, checkpoint, interval)
+    def newest(rows: DataFrame, batch: DataFrame) -> DataFrame:
+        return cdc.latest_per_key(rows.unionByName(batch), target.keys)
 
+    def handle(batch: DataFrame, batch_id: int, run: str) -> None:
+        fixed = cdc.latest_per_key(batch.select(*target.schema.fieldNames()), target.keys).persist()
+        target.apply(fixed, newest)
+        fixed.unpersist()
 
-def read_state(store: BatchStore, keys: list[str]) -> DataFrame:
-    """Current rows of a stored state, deletes left out."""
-    return cdc.latest_per_key(store.read(), keys).filter(F.col("action") != "delete")
+    return run_batches(changes, handle, checkpoint, interval)
 
 
-def compact_state(store: BatchStore, keys: list[str]) -> int:
-    """Fold the batches of a state; the deletes stay, so that nothing older comes back."""
-    return store.compact(lambda rows: cdc.latest_per_key(rows, keys))
+def read_state(target: ShardedTarget) -> DataFrame:
+    """Current rows of a state, deletes left out."""
+    return target.read().filter(F.col("action") != "delete")
 
 
 def stream_jobs(
@@ -81,32 +86,23 @@ def stream_jobs(
 ):
     """Compact the changes of every micro-batch to jobs, at most ``bulk_size`` changes to a job."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int, run: str) -> None:
         batched = cdc.flush_batches(batch, bulk_size)
         jobs = cdc.compact_ids(batched, queue, tag, F.col("key"), F.col("event_time"))
-        store.write(jobs.withColumn("run", F.lit(batch_id).cast("long")), batch_id)
+        store.write(jobs.withColumn("run", F.lit(batch_id).cast("long")), batch_id, run)
 
     return run_batches(changes, handle, checkpoint, interval)
 
 
-def stream_logs(
-    lines: DataFrame,
-    store: BatchStore,
-    checkpoint: str,
-    slow_ms: float = 0.0,
-    interval: str | None = None,
-    compact_every: int = COMPACT_EVERY,
-):
+def stream_logs(lines: DataFrame, store: BatchStore, checkpoint: str, slow_ms: float = 0.0, interval: str | None = None):
     """Parse log lines into documents.
 
     Equal lines of a micro-batch become one document. Lines that come again later, however late, are
-    stored again and resolved by ``read_logs``, or for good when batches are folded; no watermark drops them.
+    stored again and resolved by ``read_logs``; no watermark drops them.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        store.write(log_upsert(parse_access_log(batch, slow_ms)), batch_id)
-        if (batch_id + 1) % compact_every == 0:
-            store.compact(log_upsert)
+    def handle(batch: DataFrame, batch_id: int, run: str) -> None:
+        store.write(log_upsert(parse_access_log(batch, slow_ms)), batch_id, run)
 
     return run_batches(lines, handle, checkpoint, interval)
 
@@ -122,25 +118,36 @@ def read_logs(store: BatchStore) -> DataFrame:
 
 
 class RetryStore:
-    """Ledger, requeued members and given-up ids, one folder per micro-batch each."""
+    """Ledger, requeued members and given-up ids.
+
+    A ledger is complete after every batch. Two are kept for each run, by even and odd batch numbers, so that a repeated batch finds the one
+    before it. A row without tag carries the clock of the ledger and says that it is there, even if it is empty.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
-        self.ledger = BatchStore(spark, f"{root}/ledger", LEDGER_SCHEMA)
+        schema = StructType([*LEDGER_SCHEMA.fields, StructField("after", LongType())])
+        self.ledger = BatchStore(spark, f"{root}/ledger", schema)
         self.requeue = BatchStore(spark, f"{root}/requeue", MEMBER_SCHEMA)
         self.exhausted = BatchStore(spark, f"{root}/exhausted", EXHAUSTED_SCHEMA)
         self.spark = spark
 
-    def ledger_before(self, batch_id: int) -> DataFrame:
-        """The ledger as the batch found it."""
-        earlier = [b for b in self.ledger.batch_ids() if b < batch_id]
-        if not earlier:
+    def ledger_before(self, batch_id: int, run: str) -> DataFrame:
+        """The ledger as the batch found it: that of the batch before, or the last of another run, the one with the latest clock."""
+        stored = self.ledger.stored()
+        marks = stored.filter("tag is null")
+        mine = marks.filter((F.col(RUN) == run) & (F.col("after") == batch_id - 1))
+        ended = marks.filter(F.col(RUN) != run).groupBy(RUN).agg(F.max(F.struct("after", "expires_at", BATCH)).alias("last"))
+        before = mine.first() or ended.select(RUN, "last.*").orderBy(F.desc("expires_at"), RUN).first()
+        if before is None:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return self.ledger.batch(earlier[-1])
+        rows = stored.filter((F.col(RUN) == before[RUN]) & (F.col(BATCH) == before[BATCH]) & F.col("tag").isNotNull())
+        return rows.select(*LEDGER_SCHEMA.fieldNames())
 
-    def forget_before(self, batch_id: int) -> None:
-        """Drop ledgers that neither the batch nor its replay needs."""
-        for old in [b for b in self.ledger.batch_ids() if b < batch_id - 1]:
-            self.ledger.remove_batch(old)
+    def write_ledger(self, ledger: DataFrame, batch_id: int, run: str, clock: int) -> None:
+        """The ledger after a batch."""
+        mark = self.spark.createDataFrame([(None, None, None, clock)], LEDGER_SCHEMA)
+        rows = ledger.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER_SCHEMA.fields]).union(mark)
+        self.ledger.write(rows.withColumn("after", F.lit(batch_id).cast("long")), batch_id % 2, run)
 
 
 def stream_retry(
@@ -156,13 +163,12 @@ def stream_retry(
     The clock is the latest event time of the batch, so a replay gives the same ledger.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int, run: str) -> None:
         now = batch.agg(F.max("event_time")).first()[0] or 0
-        result = retry_ledger(batch, store.ledger_before(batch_id), now, max_retry, ttl)
-        store.ledger.write(result.ledger, batch_id)
-        store.requeue.write(result.requeue, batch_id)
-        store.exhausted.write(result.exhausted, batch_id)
-        store.forget_before(batch_id)
+        result = retry_ledger(batch, store.ledger_before(batch_id, run), now, max_retry, ttl)
+        store.requeue.write(result.requeue, batch_id, run)
+        store.exhausted.write(result.exhausted, batch_id, run)
+        store.write_ledger(result.ledger, batch_id, run, now)
 
     return run_batches(outcomes, handle, checkpoint, interval)
 
@@ -170,8 +176,8 @@ def stream_retry(
 def stream_refresh(updates: DataFrame, store: BatchStore, key: str, order: str, checkpoint: str, interval: str | None = None):
     """Collect changed documents; ``refreshed`` lays them over a snapshot."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        store.write(newest_update(batch, key, order), batch_id)
+    def handle(batch: DataFrame, batch_id: int, run: str) -> None:
+        store.write(newest_update(batch, key, order), batch_id, run)
 
     return run_batches(updates, handle, checkpoint, interval)
 

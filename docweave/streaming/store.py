@@ -1,18 +1,19 @@
-"""Output of a stream as one folder per micro-batch.
+"""Output of a stream as partitions of a Parquet folder, one for each run and micro-batch.
 
-A batch is complete when its own commit record is there, an empty file beside the folders that is written last; readers take exactly the
-recorded folders. A replayed micro-batch that is recorded already is left alone, an unfinished one is written
-anew, so at-least-once delivery gives exactly-once results without streaming state, and no reader loses its files.
-Compaction bounds the number of folders.
+A *run* is the id Spark gives to a checkpoint. A micro-batch replaces the partition of its own run and number, so a
+repeated one leaves what it left before, and a new checkpoint, whose numbers start again, adds to what is there.
+Input that a new checkpoint reads again is stored again; readers resolve rows by key, as they do for a key that comes twice.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+RUN, BATCH = "_run", "_batch"
 
 
 class BatchStore:
@@ -21,99 +22,54 @@ class BatchStore:
     def __init__(self, spark: SparkSession, root: str, schema: StructType) -> None:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        """The rows of one micro-batch; a batch that is complete is not written again."""
-        if self._exists(self._record("batches", batch_id)):
-            return
-        rows = batch.select(*self.schema.fieldNames())
-        rows.write.mode("overwrite").parquet(self._folder(batch_id))
-        self._commit("batches", batch_id)
+    def write(self, batch: DataFrame, batch_id: int, run: str) -> None:
+        """The rows of one micro-batch in place of those it wrote before."""
+        rows = batch.select(*self.schema.fieldNames(), F.lit(run).alias(RUN), F.lit(batch_id).cast("long").alias(BATCH))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN, BATCH).parquet(self.root)
 
     def read(self) -> DataFrame:
-        """All rows: the last compaction and the batches after it."""
-        return self._read_through(max(self.batch_ids(), default=-1))
-
-    def _read_through(self, newest: int) -> DataFrame:
-        """All rows of complete batches up to ``newest``."""
-        through = self.compacted_through()
-        paths = [self._folder(b) for b in self.batch_ids() if through < b <= newest]
-        if through >= 0:
-            paths.append(f"{self.root}/compacted/through={through}")
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def compact(self, resolve: Callable[[DataFrame], DataFrame]) -> int:
-        """Replace all batches so far by their resolved rows; returns the last batch covered.
-
-        Batches already covered by the previous compaction are removed, so readers that started
-        before this one keep their files.
-        """
-        previous = self.compacted_through()
-        newest = max(self.batch_ids(), default=-1)
-        if newest <= previous:
-            return previous
-        # a batch that lands meanwhile is neither folded here nor covered by this number
-        resolved = resolve(self._read_through(newest)).select(*self.schema.fieldNames())
-        resolved.write.mode("overwrite").parquet(f"{self.root}/compacted/through={newest}")
-        self._commit("compacted", newest)
-        for batch_id in self.batch_ids():
-            if batch_id <= previous:
-                self.remove_batch(batch_id)
-        return newest
-
-    def batch_ids(self) -> list[int]:
-        """Numbers of the batches that are complete."""
-        return self._numbers("batches")
-
-    def compacted_through(self) -> int:
-        """Last batch of the newest complete compaction, -1 where there is none."""
-        return max(self._numbers("compacted"), default=-1)
-
-    def batch(self, batch_id: int) -> DataFrame:
-        """The rows of one batch."""
-        return self.spark.read.schema(self.schema).parquet(self._folder(batch_id))
-
-    def _folder(self, batch_id: int) -> str:
-        return f"{self.root}/batches/batch_id={batch_id}"
-
-    def _record(self, kind: str, number: int) -> str:
-        return f"{self.root}/commits/{kind}/{number}"
-
-    def _commit(self, kind: str, number: int) -> None:
-        target, fs = self._fs(self._record(kind, number))
-        fs.create(target, True).close()
-
-    def _exists(self, path: str) -> bool:
-        target, fs = self._fs(path)
-        return fs.exists(target)
-
-    def _fs(self, path: str):
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _numbers(self, kind: str) -> list[int]:
-        target, fs = self._fs(f"{self.root}/commits/{kind}")
-        if not fs.exists(target):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(target)]
-        return sorted(int(name) for name in names if re.fullmatch(r"\d+", name))
-
-    def remove_batch(self, batch_id: int) -> None:
-        """Delete the record and then the folder of one batch."""
-        for path in (self._record("batches", batch_id), self._folder(batch_id)):
-            target, fs = self._fs(path)
-            fs.delete(target, True)
+        """All rows."""
+        return self.stored().select(*self.schema.fieldNames())
+
+    def batch(self, batch_id: int, run: str | None = None) -> DataFrame:
+        """The rows of one micro-batch, of one run or all."""
+        rows = self.stored().filter(F.col(BATCH) == batch_id)
+        return (rows if run is None else rows.filter(F.col(RUN) == run)).select(*self.schema.fieldNames())
+
+    def stored(self) -> DataFrame:
+        """All rows with their run and batch."""
+        schema = StructType([*self.schema.fields, StructField(RUN, StringType()), StructField(BATCH, LongType())])
+        try:
+            return self.spark.read.schema(schema).parquet(self.root)
+        except AnalysisException as missing:  # nothing was written yet
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of a checkpoint that a query has started with."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
 
 def run_batches(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = None
+    stream: DataFrame,
+    handle: Callable[[DataFrame, int, str], None],
+    checkpoint: str,
+    interval: str | None = None,
 ):
-    """Start a stream that hands every micro-batch to ``handle``.
+    """Start a stream that hands every micro-batch, its number and its run to ``handle``.
 
     The checkpoint holds the source positions: a restart goes on behind the last finished batch and
     repeats an unfinished one. Without an interval the query ends when the present input is used up.
     """
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    runs: list[str] = []
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if not runs:
+            runs.append(run_of(batch.sparkSession, checkpoint))
+        handle(batch, batch_id, runs[0])
+
+    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()

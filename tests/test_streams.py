@@ -12,7 +12,7 @@ from docweave.plans.fixtures import Tables, changes_of, log_lines_of
 from docweave.session import fresh_dir
 from docweave.sources.tables import read_change_feed, read_log_text
 from docweave.streaming import feeds
-from docweave.streaming.store import BatchStore
+from docweave.streaming.store import BatchStore, run_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,32 +33,29 @@ def feed_of(spark, events, path, files=6):
 
 def test_state_equals_batch_after_a_stop_and_a_replay(spark, events, tmp_path):
     stream = state_rows(feed_of(spark, events, f"{tmp_path}/feed"))
-    store = BatchStore(spark, f"{tmp_path}/out", stream.schema)
+    target = feeds.state_target(spark, f"{tmp_path}/out", stream.schema, ["key"], shards=5)
 
     class Stop(Exception):
         pass
 
-    def failing(batch, batch_id):
-        store.write(cdc.latest_per_key(batch, ["key"]), batch_id)
+    def failing(batch, batch_id, run):
+        target.apply(batch, lambda rows, new: cdc.latest_per_key(rows.unionByName(new), ["key"]))
         if batch_id == 2:
             raise Stop("after the write, before the commit")
 
     query = feeds.run_batches(stream, failing, f"{tmp_path}/checkpoint")
     with pytest.raises(Exception, match="after the write"):
         query.awaitTermination()
-    assert store.batch_ids() == [0, 1, 2]
-    feeds.stream_state(stream, store, ["key"], f"{tmp_path}/checkpoint").awaitTermination()
-    assert len(store.batch_ids()) == 6
+    feeds.stream_state(stream, target, f"{tmp_path}/checkpoint").awaitTermination()
     expected = rows_of(cdc.latest_per_key(state_rows(events), ["key"]).filter("action <> 'delete'"))
-    assert rows_of(feeds.read_state(store, ["key"])) == expected
-    for _ in range(2):
-        feeds.compact_state(store, ["key"])
-        assert rows_of(feeds.read_state(store, ["key"])) == expected
-    feed_of(spark, events.limit(5).withColumn("event_id", F.col("event_id") + 10_000_000).coalesce(1), f"{tmp_path}/feed", files=1)
-    feeds.stream_state(stream, store, ["key"], f"{tmp_path}/checkpoint").awaitTermination()
-    feeds.compact_state(store, ["key"])
-    assert min(store.batch_ids()) == 6
-    assert feeds.read_state(store, ["key"]).count() <= len(expected) + 5
+    assert rows_of(feeds.read_state(target)) == expected
+    # a new checkpoint reads the feed again, and nothing changes but what is new
+    more = events.limit(5).withColumns({"event_id": F.col("event_id") + 10_000_000, "event_type": F.lit("view")}).coalesce(1)
+    feed_of(spark, more, f"{tmp_path}/feed", files=1)
+    again = feeds.state_target(spark, f"{tmp_path}/out", stream.schema, ["key"], shards=5)
+    feeds.stream_state(stream, again, f"{tmp_path}/other-checkpoint").awaitTermination()
+    expected = rows_of(cdc.latest_per_key(state_rows(events.unionByName(more)), ["key"]).filter("action <> 'delete'"))
+    assert rows_of(feeds.read_state(target)) == expected
 
 
 def test_jobs_hold_every_change_once(spark, events, tmp_path):
@@ -100,8 +97,10 @@ def test_retry_stream_equals_batch_folds(spark, events, tmp_path):
         assert rows_of(store.requeue.batch(number)) == rows_of(result.requeue)
         assert rows_of(store.exhausted.batch(number)) == rows_of(result.exhausted)
         ledger = spark.createDataFrame(result.ledger.collect(), feeds.LEDGER_SCHEMA)
-        assert rows_of(store.ledger_before(number + 1)) == rows_of(ledger)
-    assert len(store.ledger.batch_ids()) == 2
+        run = run_of(spark, f"{tmp_path}/checkpoint")
+        assert rows_of(store.ledger_before(number + 1, run)) == rows_of(ledger)
+        assert rows_of(store.ledger_before(0, "a new checkpoint")) == rows_of(ledger)
+    assert store.ledger.stored().select("_run", "_batch").distinct().count() == 2
 
 
 def test_refresh_lays_updates_over_the_snapshot(spark, tmp_path):
@@ -121,48 +120,35 @@ def test_empty_store_reads_empty(spark):
     assert BatchStore(spark, fresh_dir(spark, "none"), feeds.MEMBER_SCHEMA).read().count() == 0
 
 
-def test_store_reads_recorded_batches_only(spark, tmp_path):
-    rows = spark.range(5)
-    store = BatchStore(spark, str(tmp_path), rows.schema)
-    store.write(rows, 0)
-    rows.write.parquet(f"{tmp_path}/batches/batch_id=1")  # torn: written, but not recorded
-    assert store.read().count() == 5
-    store.write(rows.limit(2), 1)
-    store.write(rows, 1)  # a replay of a complete batch changes nothing
-    assert store.read().count() == 7
-    assert store.compact(lambda df: df.distinct()) == 1
-    assert store.read().count() == 5
-
-
-def test_store_needs_no_success_markers(spark, tmp_path):
-    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        store = BatchStore(spark, str(tmp_path), spark.range(1).schema)
-        store.write(spark.range(3), 0)
-        assert store.batch_ids() == [0] and store.read().count() == 3
-    finally:
-        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
-
-
-def test_batch_that_lands_during_a_compaction_stays(spark, tmp_path):
+def test_batches_of_different_runs_stay_apart(spark, tmp_path):
+    """A checkpoint that was reset starts at batch 0 again: its rows are added, and a repeated batch replaces itself."""
     store = BatchStore(spark, str(tmp_path), spark.range(1).schema)
-    store.write(spark.range(3), 0)
+    store.write(spark.range(0, 2), 0, "one")
+    store.write(spark.range(2, 4), 0, "two")
+    store.write(spark.range(4, 9), 1, "two")
+    store.write(spark.range(4, 6), 1, "two")
+    assert sorted(r["id"] for r in store.read().collect()) == list(range(6))
+    assert sorted(r["id"] for r in store.batch(0).collect()) == [0, 1, 2, 3]
+    assert [r["id"] for r in store.batch(0, "one").orderBy("id").collect()] == [0, 1]
 
-    def resolve(df):
-        store.write(spark.range(10, 12), 1)
-        return df
 
-    store.compact(resolve)
-    assert sorted(r["id"] for r in store.read().collect()) == [0, 1, 2, 10, 11]
+def test_a_reset_checkpoint_loses_no_input(spark, events, tmp_path):
+    lines = log_lines_of(events).select(F.col("line").alias("value"))
+    store = feeds.log_store(spark, f"{tmp_path}/out")
+    for part in range(2):
+        half = lines.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == part)
+        half.coalesce(1).write.text(f"{tmp_path}/feed-{part}")
+        stream = read_log_text(spark, f"{tmp_path}/feed-{part}", streaming=True)
+        feeds.stream_logs(stream, store, f"{tmp_path}/checkpoint-{part}").awaitTermination()
+    assert rows_of(feeds.read_logs(store)) == rows_of(log_upsert(parse_access_log(lines.select(F.col("value").alias("line")))))
 
 
-def test_state_is_folded_every_few_batches(spark, tmp_path):
+def test_a_run_is_the_same_after_a_restart(spark, tmp_path):
     schema = "key string, action string, value int, file string, pos long"
-    for i in range(5):
+    seen = []
+    for i in range(3):
         rows = [(str(k), "update", i, "f", i * 10 + k) for k in range(3)]
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
-    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "feed"))
-    store = BatchStore(spark, str(tmp_path / "out"), feed.schema)
-    feeds.stream_state(feed, store, ["key"], str(tmp_path / "checkpoint"), compact_every=2).awaitTermination()
-    assert store.compacted_through() == 3
-    assert sorted((r["key"], r["value"]) for r in feeds.read_state(store, ["key"]).collect()) == [("0", 4), ("1", 4), ("2", 4)]
+        feed = spark.readStream.schema(schema).parquet(str(tmp_path / "feed"))
+        feeds.run_batches(feed, lambda batch, n, run: seen.append((n, run)), str(tmp_path / "checkpoint")).awaitTermination()
+    assert [n for n, _ in seen] == [0, 1, 2] and len({run for _, run in seen}) == 1
