@@ -1,7 +1,7 @@
 """Token ids of texts in binary shard files: frequency-ranked ids in one to four bytes, control bytes apart.
 
-Documents are range-partitioned and sorted by id, encoded by a public tokenizer, and written in ascending order by a
-Spark data source (``token_shards``). A shard holds up to ``SHARD_IDS`` ids, more only for a single longer document:
+Documents are range-partitioned and sorted by id; a Spark data source (``token_shards``) encodes them by a public tokenizer and
+writes them in that order. A shard holds up to ``SHARD_IDS`` ids, more only for a single longer document:
 
     magic, then as 64-bit little-endian numbers: documents, ids, ranked ids, control bytes, data bytes
     document ids (8 bytes each), null flags (1 byte each), lengths (8 bytes each)
@@ -29,10 +29,8 @@ import json
 import os
 import re
 import uuid
-from array import array
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +42,9 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from docweave.llm.words import text_chunks
 
 END_ID = 0
-SHARD_IDS = 1 << 20
+SHARD_IDS = 2 << 20
 BLOCK_IDS = 1 << 17
-CACHE_PIECES = 600_000
+CACHE_PIECES = 800_000
 LONGEST_KEPT = 64
 MAGIC = b"TOKSHRD1"
 
@@ -70,7 +68,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = specials_as_text
-        self.model = self.tokenizer.model
+        self.bare = Tokenizer(self.tokenizer.model)  # no cutting, no special tokens
         self.limit = limit
         self.known: dict[str, bytes] = {}
         self.cuts = self._cuts()
@@ -95,33 +93,56 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return self._encode(texts)
-        rows = [_pieces(t) for t in texts]
-        ids = dict.fromkeys(chain.from_iterable(rows))
-        odd = self._fill(ids)
-        if odd:  # blanks that follow each other: these texts are cut with a look at both sides
-            again = [i for i, row in enumerate(rows) if not odd.isdisjoint(row)]
-            for i in again:
-                rows[i] = _CUT.split(texts[i])
-            more = dict.fromkeys(p for i in again for p in rows[i] if p not in ids)
-            self._fill(more)
-            ids.update(more)
-        return [b"".join(map(ids.__getitem__, row)) for row in rows]
-
-    def _fill(self, ids: dict[str, bytes | None]) -> set[str]:
-        """Put in the ids of pieces; those that are not one word after one blank at most are returned."""
-        ids.update(zip(ids, map(self.known.get, ids)))
-        fresh = [p for p, own in ids.items() if own is None]
-        if len(self.known) + len(fresh) > self.limit:  # begin anew with what is in use
-            self.known = {p: own for p, own in ids.items() if own is not None}
-        others, odd = [], set()
+        rows, open_, fresh = [], [], {}
+        get = self.known.get
+        for text in texts:
+            pieces = _pieces(text)
+            row = list(map(get, pieces))
+            if None in row:
+                gaps = [i for i, own in enumerate(row) if own is None]
+                open_.append((len(rows), pieces, gaps))
+                fresh.update((pieces[i], None) for i in gaps)
+            rows.append(row)
+        odd = self._resolve(fresh)
+        for n, pieces, gaps in open_:
+            if odd and not odd.isdisjoint(pieces):  # blanks that follow each other: cut with a look at both sides
+                pieces = _CUT.split(texts[n])
+                once = {p: None for p in pieces if p not in self.known and p not in fresh}
+                self._resolve(once)
+                rows[n] = [self.known.get(p) or fresh.get(p) or once[p] for p in pieces]
+            else:
+                row = rows[n]
+                for i in gaps:
+                    row[i] = fresh[pieces[i]]
+        if len(self.known) > self.limit:  # begin anew with what is in use
+            self.known = {p: own for _, pieces, _ in open_ for p in pieces if (own := self.known.get(p)) is not None}
+        return [b"".join(row) for row in rows]
+
+    def _resolve(self, fresh: dict[str, bytes | None]) -> set[str]:
+        """Put in the ids of new pieces; those that are not one word after one blank at most are returned."""
+        words, others, parts = [], [], {}
         for piece in fresh:
             word = _PLAIN_WORD.fullmatch(piece)
             if word:
-                ids[piece] = self.known[piece] = self._word(*word.groups())
+                groups = word.groups()
+                words.append((piece, groups))
+                if groups[1] not in self.known:
+                    parts[groups[1]] = None
+                if groups[2] and groups[2] not in self.known:
+                    parts[groups[2]] = None
             else:
                 others.append(piece)
+        self._encode_parts(list(parts))
+        for piece, (feed, letters, marks) in words:
+            own = self.known[letters]
+            if marks:
+                own += self.known[marks]
+            if feed:
+                own = self.feed + own
+            fresh[piece] = self.known[piece] = own
+        odd = set()
         for piece, own in zip(others, self._encode(others)):
-            ids[piece] = own
+            fresh[piece] = own
             if not _is_plain(piece):
                 odd.add(piece)
             elif len(piece) <= LONGEST_KEPT:
@@ -129,22 +150,23 @@ class Encoder:
         odd.discard("")
         return odd
 
-    def _word(self, feed: str, letters: str, marks: str) -> bytes:
-        """Ids of a line feed, a run of letters with the space before it, and a run of marks: a part each for the model."""
-        out = self.feed if feed else b""
-        for part in (letters, marks):
-            if part:
-                own = self.known.get(part)
-                if own is None:
-                    spelled = part.replace(" ", _SPACE) if part.isascii() else part.encode().decode("latin-1").translate(_SPELLED)
-                    own = self.known[part] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-                out += own
-        return out
+    def _encode_parts(self, parts: list[str]) -> None:
+        """Ids of runs of letters, after a space or not, and of runs of marks: a part each for the model."""
+        if not parts:
+            return
+        joined = np.frombuffer("\n".join(parts).encode(), np.uint8)  # no part holds a line feed
+        spelled = _SPELLED[joined].tobytes().decode("utf-32-le").split(_FEED)
+        found = self.bare.encode(spelled, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, "<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(found.word_ids, minlength=len(parts)))).tolist()
+        self.known.update(zip(parts, map(ids.__getitem__, map(slice, [0, *ends], ends))))
 
 
 #: Byte-level vocabularies spell a byte that is no visible Latin-1 character as the next character from U+0100 on.
-_SPELLED = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
-_SPACE = chr(_SPELLED[ord(" ")])
+_SPELLED = np.arange(256, dtype="<u4")
+_HIDDEN = np.flatnonzero((_SPELLED < 33) | ((_SPELLED > 126) & (_SPELLED < 161)) | (_SPELLED == 173))
+_SPELLED[_HIDDEN] = 0x100 + np.arange(len(_HIDDEN))
+_FEED = chr(_SPELLED[ord("\n")])
 _PLAIN_WORD = re.compile("(\n?)( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]{1,40})([.,;:!?]{0,8})")
 
 
@@ -171,29 +193,38 @@ def encoder_of(file: str, specials_as_text: bool) -> Encoder:
     return _ENCODERS[key]
 
 
+def _encoded(batch: pa.RecordBatch, name: str, specials_as_text: bool, end_id: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, ids with the end id) of the chunks of a batch with texts."""
+    encoder = encoder_of(name if os.path.isabs(name) else public_path(name), specials_as_text)
+    end = np.array([end_id], "<u4").tobytes()
+    for first, texts in text_chunks(batch, "text"):
+        yield first, [i + end for i in encoder([(t or b"").decode() for t in texts])]
+
+
 def _encode_task(name: str, specials_as_text: bool, end_id: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(name if os.path.isabs(name) else public_path(name), specials_as_text)
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for first, texts in text_chunks(batch, "text"):
-                ids = [i + end for i in encoder([(t or b"").decode() for t in texts])]
-                yield pa.record_batch(
-                    [batch.column("doc_id").slice(first, len(texts)), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
-                )
+            for first, ids in _encoded(batch, name, specials_as_text, end_id):
+                doc_ids = batch.column("doc_id").slice(first, len(ids))
+                yield pa.record_batch([doc_ids, pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return task
 
 
+def in_order(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): ascending over the partitions and inside them; equal rows and ids may be spread over several."""
+    placed = documents.select("doc_id", "text").withColumns({"_h": F.xxhash64("text"), "_at": F.monotonically_increasing_id()})
+    order = ("doc_id", "_h", "_at")
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+
+
 def tokenize(documents: DataFrame, tokenizer: str, specials_as_text: bool = False, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, ids): all documents in ascending order of their ids over the partitions and inside them.
+    """(doc_id, ids) of (doc_id, text), row by row.
 
     ``tokenizer`` is an absolute path that all executors have, or the name of a public tokenizer's file.
     """
-    placed = documents.select("doc_id", "text").withColumns({"_h": F.xxhash64("text"), "_at": F.monotonically_increasing_id()})
-    order = ("doc_id", "_h", "_at")
-    ranged = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    return ranged.mapInArrow(_encode_task(tokenizer, specials_as_text, end_id), "doc_id long, ids binary")
+    slim = documents.select("doc_id", "text")
+    return slim.mapInArrow(_encode_task(tokenizer, specials_as_text, end_id), "doc_id long, ids binary")
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -308,8 +339,8 @@ def _files(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, shard_ids: int):
-        self.path, self.shard_ids = path, shard_ids
+    def __init__(self, path: str, shard_ids: int, tokenizer: str, specials_as_text: bool, end_id: int):
+        self.path, self.shard_ids, self.encoding = path, shard_ids, (tokenizer, specials_as_text, end_id)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> ShardsWritten:
         system, root = _files(self.path)
@@ -327,12 +358,14 @@ class _Writer(DataSourceArrowWriter):
             doc_ids, ids, size = [], [], 0
 
         for batch in iterator:
-            for doc_id, own in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
-                if doc_ids and size + len(own) // 4 > self.shard_ids:
-                    flush()
-                doc_ids.append(doc_id)
-                ids.append(own)
-                size += len(own) // 4
+            numbers = batch.column("doc_id").to_pylist()
+            for first, chunk in _encoded(batch, *self.encoding):
+                for doc_id, own in zip(numbers[first:], chunk):
+                    if doc_ids and size + len(own) // 4 > self.shard_ids:
+                        flush()
+                    doc_ids.append(doc_id)
+                    ids.append(own)
+                    size += len(own) // 4
         if doc_ids:
             flush()
         return ShardsWritten(shards)
@@ -381,7 +414,7 @@ class _Reader(DataSourceReader):
 
 
 class TokenShards(DataSource):
-    """``token_shards``: written with (doc_id, ids), read as (doc_id, start, n_tokens, ids)."""
+    """``token_shards``: written from (doc_id, text), read as (doc_id, start, n_tokens, ids)."""
 
     @classmethod
     def name(cls) -> str:
@@ -394,13 +427,21 @@ class TokenShards(DataSource):
         return _Reader(self.options["path"])
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return _Writer(self.options["path"], int(self.options.get("shard_ids", SHARD_IDS)))
+        options = self.options
+        specials = options.get("specials_as_text", "false").lower() == "true"
+        return _Writer(options["path"], int(options.get("shard_ids", SHARD_IDS)), options["tokenizer"], specials, int(options.get("end_id", END_ID)))
 
 
-def write_token_shards(tokens: DataFrame, path: str, shard_ids: int = SHARD_IDS) -> None:
-    """Write (doc_id, ids) to a new folder, an absolute path or URI that all executors reach."""
-    tokens.sparkSession.dataSource.register(TokenShards)
-    tokens.select("doc_id", "ids").write.format("token_shards").option("shard_ids", shard_ids).mode("append").save(path)
+def write_token_shards(
+    documents: DataFrame, path: str, tokenizer: str, shard_ids: int = SHARD_IDS, specials_as_text: bool = False, end_id: int = END_ID
+) -> None:
+    """Encode (doc_id, text) and write to a new folder, an absolute path or URI that all executors reach.
+
+    ``tokenizer`` is an absolute path that all executors have, or the name of a public tokenizer's file.
+    """
+    documents.sparkSession.dataSource.register(TokenShards)
+    options = {"tokenizer": tokenizer, "shard_ids": shard_ids, "specials_as_text": specials_as_text, "end_id": end_id}
+    in_order(documents).write.format("token_shards").options(**options).mode("append").save(path)
 
 
 def read_token_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -411,6 +452,6 @@ def read_token_shards(spark: SparkSession, path: str) -> DataFrame:
 
 def token_digest(documents: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
     """Encode, write and read back: (doc_id, start, n_tokens, ids_crc32)."""
-    write_token_shards(tokenize(documents, tokenizer), path)
+    write_token_shards(documents, path, tokenizer)
     back = read_token_shards(documents.sparkSession, path)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
