@@ -46,16 +46,18 @@ def prefix_index(df: DataFrame, key: str, column: str, low: int = MIN_GRAM, high
     )
 
 
-def weighted_postings(df: DataFrame, key: str, weights: dict[str, int]) -> DataFrame:
-    """Sum of the field weights per (``term``, ``key``) over the fields that contain the prefix.
+def weighted_postings(df: DataFrame, key: str, weights: dict[str, int], words: dict[str, int] | None = None) -> DataFrame:
+    """Sum of the field weights per (``term``, ``key``) over the fields that contain the term.
 
-    All fields of a row are expanded in one pass, so the sum is complete before the shuffle.
+    A field of ``weights`` is a text and has the prefixes of its words as terms; one of ``words`` is an array of words, as ``segment`` makes
+    them, and has those. All fields of a row are expanded in one pass, so the sum is complete before the shuffle.
     """
 
-    def weighted(column: str, weight: int) -> Column:
-        terms = F.coalesce(prefixes(tokens(F.col(column))), F.array().cast("array<string>"))
-        return F.transform(terms, lambda term: F.struct(term.alias("term"), F.lit(weight).alias("weight")))
+    def weighted(terms: Column, weight: int) -> Column:
+        present = F.coalesce(terms, F.array().cast("array<string>"))
+        return F.transform(present, lambda term: F.struct(term.alias("term"), F.lit(weight).alias("weight")))
 
-    per_field = [weighted(column, weight) for column, weight in weights.items()]
+    per_field = [weighted(prefixes(tokens(F.col(column))), weight) for column, weight in weights.items()]
+    per_field += [weighted(F.array_distinct(F.col(column)), weight) for column, weight in (words or {}).items()]
     entries = df.select(key, F.inline(F.concat(*per_field)))
     return entries.groupBy("term", key).agg(F.sum("weight").alias("weight"))

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.operators import enrich
 from docweave.operators.asof import newest_position, position_as_of
+from docweave.operators.dictionary import dictionary_union
 from docweave.operators.merge import without
 from docweave.operators.numbering import assign_versions, index_sort, rank_in_group, running_offsets, shard_of
 from docweave.operators.postings import (
     ALIAS_WEIGHT, NAME_WEIGHT, SPELLED_WEIGHT, prefix_index, prefix_postings, weighted_postings,
 )
 from docweave.operators.rules import Rule, effective_rules, require_rules, rule_match
+from docweave.operators.segment import segment
 from docweave.plans.actor import build_actor_document
 from docweave.plans.column_queries import BRANDS_SQL, PAYMENT_SQL, STRATEGIES_SQL
 from docweave.plans.fixtures import (
@@ -417,3 +419,67 @@ FIELDS = {"p_name": SPELLED_WEIGHT, "p_type": NAME_WEIGHT, "p_brand": ALIAS_WEIG
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return weighted_postings(Tables(spark, sf).table("part"), "p_partkey", FIELDS)
+
+
+# Names and types run together, as in a language without blanks; the dictionary has their words and shorter heads of them.
+V_SEGMENT = """RECURSIVE v_text AS (SELECT p_partkey AS id, unnest([0, 1]) AS field, unnest([replace(lower(p_name), ' ', ''), replace(lower(p_type), ' ', '')]) AS t FROM part),
+  v_single AS (SELECT DISTINCT unnest(string_split(lower(p_name || ' ' || p_type), ' ')) AS w FROM part),
+  v_cut AS (SELECT w FROM v_single WHERE length(w) > 3 UNION SELECT substr(w, 1, 3) FROM v_single UNION SELECT right(w, 4) FROM v_single),
+  v_distinct AS (SELECT DISTINCT t FROM v_text),
+  v_lens AS (SELECT t, pos, list(length(w)) AS lens FROM (SELECT t, unnest(range(1, length(t) + 1)) AS pos FROM v_distinct)
+             JOIN v_cut ON substr(t, pos, length(w)) = w GROUP BY t, pos),
+  v_best AS (
+    SELECT t, length(t) + 1 AS pos, [{'c': 0, 'w': 0, 'l': 0}] AS s FROM v_distinct
+    UNION ALL
+    SELECT b.t, b.pos - 1, list_prepend(list_min(list_concat([{'c': b.s[1].c, 'w': b.s[1].w, 'l': 0}],
+      list_transform(coalesce(l.lens, []), lambda n: {'c': b.s[n].c - n, 'w': b.s[n].w + 1, 'l': -n}))), b.s)
+    FROM v_best b LEFT JOIN v_lens l ON l.t = b.t AND l.pos = b.pos - 1 WHERE b.pos > 1),
+  v_walk AS (
+    SELECT t, 1 AS pos, s FROM v_best WHERE pos = 1
+    UNION ALL
+    SELECT t, pos + greatest(1, -s[pos].l), s FROM v_walk WHERE pos <= length(t)),
+  v_step AS (SELECT t, pos, -s[pos].l AS n FROM v_walk WHERE pos <= length(t)),
+  v_gap AS (SELECT t, pos, pos - row_number() OVER (PARTITION BY t ORDER BY pos) AS run FROM v_step WHERE n = 0),
+  v_token AS (
+    SELECT t, substr(t, pos, n) AS term FROM v_step WHERE n > 0
+    UNION SELECT t, substr(t, min(pos), count(*)) FROM v_gap GROUP BY t, run)"""
+
+
+def _run_together(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(texts, dictionary)"""
+    t = Tables(spark, sf)
+    part = t.table("part")
+    single = part.select(F.explode(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("w")).distinct()
+    heads = single.select(F.explode(F.array(F.when(F.length("w") > 3, F.col("w")), F.substring("w", 1, 3), F.expr("right(w, 4)"))).alias("word"))
+    # one entity writes all words; the same union as for every dictionary
+    rows = heads.dropna().select("word", F.lit(0).alias("at"), F.lit(0).alias("key"))
+    texts = part.select("p_partkey", F.regexp_replace("p_name", " ", "").alias("name"), F.regexp_replace("p_type", " ", "").alias("alias"))
+    return texts, dictionary_union([(rows, "word", "at", "key")])
+
+
+@query(
+    "k2_segmented_words",
+    with_views(V_SEGMENT, select="SELECT DISTINCT id AS p_partkey, term FROM v_text JOIN v_token USING (t) WHERE field = 0"),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Names in words of the dictionary, which is broadcast after its size is measured."""
+    texts, words = _run_together(spark, sf)
+    cut = segment(texts, "p_partkey", ["name"], words)
+    return cut.select("p_partkey", F.explode(F.array_distinct("name")).alias("term"))
+
+
+@query(
+    "k2_segmented_postings",
+    with_views(
+        V_SEGMENT,
+        select=f"""SELECT term, doc AS p_partkey, CAST(sum(w) AS BIGINT) AS weight FROM (
+          SELECT doc, term, 20 AS w FROM ({_grams('p_partkey', 'p_name', 'part')})
+          UNION ALL SELECT DISTINCT id, term, CASE field WHEN 0 THEN 10 ELSE 5 END FROM v_text JOIN v_token USING (t)) GROUP BY 1, 2""",
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of prefixes and of words cut by a dictionary too large to broadcast."""
+    texts, words = _run_together(spark, sf)
+    cut = segment(texts, "p_partkey", ["name", "alias"], words, broadcast_chars=0)
+    rows = Tables(spark, sf).table("part").select("p_partkey", "p_name").join(cut, "p_partkey")
+    return weighted_postings(rows, "p_partkey", {"p_name": SPELLED_WEIGHT}, {"name": NAME_WEIGHT, "alias": ALIAS_WEIGHT})
