@@ -11,7 +11,7 @@ from docweave.plans.fixtures import Tables, V_CHANGE, V_LOG, V_LOG_LINE, changes
 from docweave.plans.log_queries import DOCUMENT_SQL, printable
 from docweave.plans.registry import query, with_views
 from docweave.session import fresh_dir
-from docweave.sources.tables import read_change_feed
+from docweave.sources.tables import read_change_feed, read_log_text
 from docweave.streaming.feeds import JOB_SCHEMA, log_store, read_logs, read_state, state_target, stream_jobs, stream_logs, stream_state
 from docweave.streaming.store import BatchStore
 
@@ -59,6 +59,19 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return printable(read_logs(store))
 
 
+@query("l3_stream_tail", with_views(V_LOG_LINE, V_LOG, select=f"SELECT DISTINCT {DOCUMENT_SQL} FROM v_log WHERE reason IS NULL"))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The log grows by a file between two runs of the tail; the second goes on where the first ended."""
+    root = fresh_dir(spark, "tail")
+    t = Tables(spark, sf)
+    store = log_store(spark, f"{root}/out")
+    for part in range(2):
+        late = F.pmod(F.xxhash64("line"), F.lit(2)) == part
+        t.log_line.filter(late).select(F.col("line").alias("value")).write.mode("append").text(f"{root}/log")
+        stream_logs(read_log_text(spark, f"{root}/log", follow=True), store, f"{root}/checkpoint").awaitTermination()
+    return printable(read_logs(store))
+
+
 @query("l4_stream_resume", _STATE_SQL)
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """The feed arrives in three parts; each run goes on where the one before it ended."""

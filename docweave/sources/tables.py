@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from docweave.sources.tail import tail_lines
+
 
 def read_table(spark: SparkSession, source: str | dict[str, str], predicates: list[str] | None = None) -> DataFrame:
     """A table by Parquet path, or over JDBC from an options dict.
@@ -48,8 +50,16 @@ def read_change_feed(
     return reader.parquet(path)
 
 
-def read_log_text(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
-    """Log lines in column ``line``; the stream picks up rotated files as they appear."""
+def read_log_text(
+    spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None, follow: bool = False, max_bytes: int | None = None
+) -> DataFrame:
+    """Log lines in column ``line``.
+
+    The plain stream picks up files as they appear and reads each once; with ``follow`` it also reads what files gain later, over
+    rotation and truncation (see ``tail``), ``max_bytes`` at a time.
+    """
+    if follow:
+        return tail_lines(spark, path, max_bytes).select("line")
     if not streaming:
         lines = spark.read.text(path)
     else:
