@@ -11,6 +11,7 @@ from docweave.plans.fixtures import Tables, V_CHANGE, V_LOG, V_LOG_LINE, changes
 from docweave.plans.log_queries import DOCUMENT_SQL, printable
 from docweave.plans.registry import query, with_views
 from docweave.session import fresh_dir
+from docweave.sources.position import PositionStore, follow_changes
 from docweave.sources.tables import read_change_feed, read_log_text
 from docweave.streaming.feeds import JOB_SCHEMA, log_store, read_logs, read_state, state_target, stream_jobs, stream_logs, stream_state
 from docweave.streaming.store import BatchStore
@@ -83,3 +84,29 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         rows = _state_rows(changes_of(_events(spark, f"{root}/feed", events, max_files=4)))
         stream_state(rows, target, f"{root}/checkpoint").awaitTermination()
     return read_state(target)
+
+
+@query("l4_stream_from_position", _STATE_SQL)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A bootstrap takes the changes up to a saved position; a stream without its checkpoint follows from there, while the log grows."""
+    root = fresh_dir(spark, "position")
+    changes = _state_rows(changes_of(Tables(spark, sf).table("events")))
+    saved = PositionStore(spark, f"{root}/position")
+    bounds = changes.agg(F.min("pos").alias("a"), F.max("pos").alias("b")).first()
+    width = (bounds["b"] - bounds["a"]) // 3 + 1
+    target = state_target(spark, f"{root}/out", changes.schema, STATE_KEYS, STATE_SHARDS)
+    for part in range(3):
+        low = bounds["a"] + part * width
+        mine = changes.filter(F.col("pos").between(low, low + width - 1))
+        # a writer appends behind what is there, in the order of the log
+        mine.withColumn("file", F.lit("log")).repartitionByRange(2, "pos").sortWithinPartitions("pos").write.mode("append").parquet(f"{root}/log")
+        if part == 0:
+            first = spark.read.schema(changes.schema).parquet(f"{root}/log")
+            target.create(cdc.latest_per_key(first, STATE_KEYS))
+            saved.save_last(first)
+        else:
+            feed = follow_changes(spark, f"{root}/log", changes.schema, after=saved.load())
+            stream_state(feed, target, f"{root}/checkpoint-{part}").awaitTermination()
+            saved.save_last(target.read())
+    named = changes.select("pos", F.col("file").alias("_file"))
+    return read_state(target).drop("file").join(named, "pos").withColumnRenamed("_file", "file").select(*_STATE_COLUMNS)
