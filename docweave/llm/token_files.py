@@ -42,9 +42,9 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from docweave.llm.words import text_chunks
 
 END_ID = 0
-SHARD_IDS = 2 << 20
+SHARD_IDS = 4 << 20
 BLOCK_IDS = 1 << 17
-CACHE_PIECES = 800_000
+CACHE_PIECES = 1_600_000
 LONGEST_KEPT = 64
 MAGIC = b"TOKSHRD1"
 
