@@ -14,6 +14,7 @@ from docweave.operators.numbering import assign_versions, index_sort, rank_in_gr
 from docweave.operators.postings import (
     ALIAS_WEIGHT, NAME_WEIGHT, SPELLED_WEIGHT, prefix_index, prefix_postings, weighted_postings,
 )
+from docweave.operators.propagate import add_deltas, count_deltas, delta_of, keys_in, union_of
 from docweave.operators.rules import Rule, effective_rules, require_rules, rule_match
 from docweave.operators.segment import segment
 from docweave.plans.actor import build_actor_document
@@ -32,8 +33,9 @@ from docweave.plans.fixtures import (
     V_TAG,
 )
 from docweave.plans.media import MediaInputs, build_media_document
+from docweave.plans.refresh import deltas_between, earlier, refresh_documents
 from docweave.plans.registry import query, with_views
-from docweave.session import fresh_dir
+from docweave.session import fresh_dir, materialize
 from docweave.sources.scans import incremental_scan
 
 
@@ -218,6 +220,15 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return build_media_document(inputs, start_version=None)
 
 
+@query("c9_media_document_refreshed", with_views(*_DOCUMENT_VIEWS, select=f"SELECT * EXCLUDE (version_id) FROM ({_DOCUMENT})"))
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of an earlier state of all tables, refreshed by the deltas of the tables, come out as in a full build."""
+    after = media_inputs(Tables(spark, sf))
+    before = earlier(after)
+    old = materialize(build_media_document(before, start_version=None), "old-documents")
+    return refresh_documents(old, after, deltas_between(before, after))
+
+
 _COUNTS = """SELECT l_suppkey, count(DISTINCT l_orderkey) AS available_count FROM lineitem JOIN orders ON l_orderkey = o_orderkey
              WHERE o_orderstatus <> 'P' GROUP BY 1"""
 
@@ -319,6 +330,22 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("d1_available_count_delta", f"SELECT l_suppkey AS person_id, available_count FROM ({_COUNTS})")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of an earlier state and the signed deltas of the documents that changed."""
+    t = Tables(spark, sf)
+    after = (t.person_bridge, t.doc)
+    place = F.pmod(F.xxhash64("id"), F.lit(50))
+    old_pairs = t.person_bridge.withColumn("id", F.when(F.pmod(F.xxhash64("id", "person_id"), F.lit(40)) == 0, F.col("id") + 1).otherwise(F.col("id")))
+    old_docs = t.doc.filter(place != 0).withColumn("disable", F.when(place < 3, 1 - F.col("disable")).otherwise(F.col("disable")))
+    before = (old_pairs, old_docs)
+    arguments = {"key": "id", "person": "person_id", "enabled": F.col("disable") == 0}
+    counts = enrich.available_count(*before, **arguments, count_as="available_count")
+    changed = [delta_of(b.select("id", c), a.select("id", c)) for b, a, c in zip(before, after, ("person_id", "disable"))]
+    touched = union_of([keys_in(d, "id") for d in changed])
+    return add_deltas(counts, count_deltas(before, after, touched, **arguments), "person_id", "available_count")
+
+
 @query("d2_newest_child", with_views(V_CHILD, select="SELECT id, newest FROM v_child"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.newest_child(Tables(spark, sf).child, "id", "child_time", "newest", F.col("disable") == 0)
