@@ -1,13 +1,15 @@
 """Secrets in texts: fixed patterns, and strings that a primed compressor can't explain.
 
-After a sensitive word (``SENSITIVE``) on the same line, every string of at least ``LEAST_CHARS`` characters of the
-usual alphabets of keys that mixes digits with letters is a candidate. It is compressed by zstandard behind the code around it, with a dictionary of the
-identifiers that stand around sensitive words anywhere in the corpus: the marginal bytes are what the candidate adds to its
-context. A string that adds at least ``NOVELTY`` bytes a character is reported as ``novel``; names, words, versions and placeholders
-that recur are explained by dictionary and context and add little.
-
-The dictionary holds the most frequent context words of all documents, at most ``DICTIONARY_BYTES``, which bounds what is
-broadcast. Texts are read once; only candidates and their contexts go on.
+A sensitive word (``SENSITIVE``) makes the rest of its line and the ``LINES_AFTER`` lines after it a sensitive context; a key block reaches
+from its begin mark to its end mark. Every string in it of at least ``LEAST_CHARS`` characters of the usual alphabets of keys that mixes
+digits with letters, or of ``LEAST_LETTERS`` without a digit, is a candidate, however long. It is compressed by zstandard behind the code around it, with a
+dictionary of the words of identifiers that stand around sensitive words anywhere in the corpus: the marginal bytes are what the candidate adds to its
+context. A long string is measured in pieces, each behind the one before. A string that adds at least ``NOVELTY`` bytes a character is reported as
+``novel``; names, words, versions and placeholders are explained by dictionary and context and add little.
+
+The dictionary holds the words found in the most different contexts of all documents, at most ``DICTIONARY_BYTES``, which bounds what is
+broadcast. A context counts once, however many copies of a document have it, and words are plain and shorter than a candidate, so
+neither a secret nor a part of one gets in and hides its copies. Texts are read once; only candidates and their contexts go on.
 """
 
 from __future__ import annotations
@@ -24,10 +26,11 @@ from docweave.session import materialize
 
 KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = ("passw", "pwd", "secret", "token", "apikey", "api_key", "api-key", "access_key", "private", "credential", "bearer")
-REACH = 80
+LINES_AFTER = 2
 CONTEXT = 96
 LEAST_CHARS = 12
-MOST_CHARS = 4096
+LEAST_LETTERS = 24
+PIECE = 1024
 NOVELTY = 0.7
 DICTIONARY_BYTES = 16_384
 DICTIONARY_WORDS = 2_048
@@ -41,7 +44,8 @@ _HEX_MAP = bytes(ord("h") if chr(i) in "0123456789abcdef" else ord(".") for i in
 _SENSITIVE = re.compile("|".join(SENSITIVE), re.I | re.A)
 _STEMS = tuple(s.encode() for s in SENSITIVE)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_CHARS)
-_WORD = r"[^A-Za-z0-9_]+"
+_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*KEY[A-Z0-9 ]*-----.*?-----END ", re.S)
+_WORD = r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])"
 
 
 def base_spans(text: bytes) -> list[tuple[int, int, int]]:
@@ -63,21 +67,43 @@ def base_spans(text: bytes) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def zones(text: str) -> list[tuple[int, int]]:
+    """The sensitive contexts, joined where they touch: a string that begins inside of one is in it."""
+    found = [m.span() for m in _BLOCK.finditer(text)]
+    line_end = reach = -1  # of the line of the word before, and of the lines after it
+    for word in _SENSITIVE.finditer(text):
+        if word.end() > line_end:
+            line_end = reach = _end_of_line(text, word.end())
+            for _ in range(LINES_AFTER):
+                reach = _end_of_line(text, min(reach + 1, len(text)))
+        found.append((word.end(), reach))
+    out: list[tuple[int, int]] = []
+    for begin, end in sorted(found):
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((begin, end))
+    return out
+
+
+def _end_of_line(text: str, at: int) -> int:
+    end = text.find("\n", at)
+    return len(text) if end < 0 else end
+
+
 def candidates(text: bytes) -> list[tuple[int, int, str, str]]:
-    """(start, end, context before, string) after sensitive words; each string once."""
+    """(start, end, context before, string) in sensitive contexts; each string once."""
     lower = text.lower()
     if not any(stem in lower for stem in _STEMS):
         return []
     decoded, found, done = text.decode(), [], 0
-    for word in _SENSITIVE.finditer(decoded):
-        stop = decoded.find("\n", word.end(), word.end() + REACH)
-        stop = word.end() + REACH if stop < 0 else stop
-        for m in _CANDIDATE.finditer(decoded, max(word.end(), done)):
-            if m.start() >= stop:
+    for begin, end in zones(decoded):
+        for m in _CANDIDATE.finditer(decoded, max(begin, done)):
+            if m.start() >= end:
                 break
-            done = m.end()
-            string = m[0]
-            if len(string) <= MOST_CHARS and any(c.isdigit() for c in string) and any(c.isalpha() for c in string):
+            done, string = m.end(), m[0]
+            letters = any(c.isalpha() for c in string)
+            if letters and (len(string) >= LEAST_LETTERS or any(c.isdigit() for c in string)):
                 found.append((m.start(), m.end(), decoded[max(0, m.start() - CONTEXT) : m.start()], string))
     return found
 
@@ -121,16 +147,19 @@ class Novelty:
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=prime, **options)
 
     def __call__(self, context: str, string: str) -> float:
-        """Bytes a character that the string adds behind its context."""
-        before = context.encode()
-        added = len(self.compressor.compress(before + string.encode())) - len(self.compressor.compress(before))
+        """Bytes a character that the string adds behind its context, piece by piece."""
+        added = 0
+        for at in range(0, len(string), PIECE):
+            before, piece = (context if at == 0 else string[at - CONTEXT : at]).encode(), string[at : at + PIECE].encode()
+            added += len(self.compressor.compress(before + piece)) - len(self.compressor.compress(before))
         return added / max(len(string), 1)
 
 
 def context_dictionary(rows: DataFrame) -> bytes:
-    """The most frequent words of the contexts, the most frequent last, where matches are cheapest."""
-    words = rows.select(F.explode("found.context").alias("context")).select(F.explode(F.split("context", _WORD)).alias("word"))
-    words = words.filter(F.length("word").between(3, 64)).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    """The words of the most different contexts, the most frequent last, where matches are cheapest."""
+    contexts = rows.select(F.explode("found.context").alias("context")).distinct()
+    words = contexts.select(F.explode(F.array_distinct(F.split("context", _WORD))).alias("word"))
+    words = words.filter(F.length("word").between(3, LEAST_CHARS - 1)).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     top = [r["word"] for r in words.orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS).collect()]
     kept, size = [], 0
     for word in top:
