@@ -8,7 +8,8 @@ last shard gets what is missing, so the totals are exact. Slot j of a source tak
 keyed Feistel network walked until it falls inside). So no block is taken twice before all are taken once.
 
 A source's words miss its target by half a block, and by the short last block of its stream, at most.
-The driver sees one row for each source and, for the offsets, joins one row for each partition and source.
+The driver sees one row for each source and, for the offsets, joins one row for each partition and source: sources are meant to be named
+collections, up to some ten thousand of them.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from docweave.session import materialize
 
 BLOCK_WORDS = 32
 SHARD_SLOTS = 8192
+BUNDLE_SHARDS = 1024
+SLOTS_A_TASK = 1 << 18
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
@@ -115,7 +118,11 @@ def quotas(sources: DataFrame, block_words: int) -> DataFrame:
 
 
 def draw_shards(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
-    """(number, blocks, shard, lo, hi): the slots lo..hi-1 of a source that an output shard takes."""
+    """(number, blocks, shard, lo, hi): the slots lo..hi-1 of a source that an output shard takes.
+
+    A shard's first slot of a source is the running sum of the draws before it, made from bundles of shards: a bundle's sum of all
+    earlier bundles, and the shards before it in its bundle. So no task sees all shards of a source.
+    """
     spark = sources.sparkSession
     rows = sorted((r["number"], r["slots"]) for r in sources.select("number", "slots").collect())  # one row a source
     total = sum(n for _, n in rows)
@@ -136,8 +143,12 @@ def draw_shards(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
                 )
 
     drawn = spark.range(shards).mapInArrow(draw, "shard long, number long, n long")
-    before = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    drawn = drawn.withColumn("end", F.sum("n").over(before))
+    drawn = drawn.withColumn("bundle", F.floor(F.col("shard") / BUNDLE_SHARDS))
+    earlier = Window.partitionBy("number").orderBy("bundle").rowsBetween(Window.unboundedPreceding, -1)
+    bundles = drawn.groupBy("number", "bundle").agg(F.sum("n").alias("_n"))
+    bundles = bundles.select("number", "bundle", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("base"))
+    upto = Window.partitionBy("number", "bundle").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    drawn = drawn.join(bundles, ["number", "bundle"]).withColumn("end", F.col("base") + F.sum("n").over(upto))
     small = F.broadcast(sources.select("number", "blocks", "slots"))  # one row for each source
     taken = drawn.join(small, "number").select(
         "number", "blocks", "shard", F.least(F.col("end") - F.col("n"), "slots").alias("lo"), F.least("end", "slots").alias("hi")
@@ -183,22 +194,26 @@ def _blocks_of(seed: int):
     return run, "number long, shard long, slot long, block long"
 
 
-def slots_of(ranges: DataFrame, seed: int) -> DataFrame:
-    """(number, shard, slot, block) for every slot of the mix."""
+def slots_of(ranges: DataFrame, total: int, seed: int) -> DataFrame:
+    """(number, shard, slot, block) for every slot of the mix, ``total`` in all.
+
+    Ranges are cut to pieces of a shard's size and dealt to tasks by (source, place) before they become slots: a source with a
+    third of all words takes part in all tasks.
+    """
     run, schema = _blocks_of(seed)
-    slots = ranges.select(
-        F.col("number").cast("long").alias("number"),
-        F.col("blocks").cast("long").alias("blocks"),
-        "shard",
-        F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)).alias("slot"),
-    )
+    first = F.explode(F.sequence(F.col("lo"), F.col("hi") - 1, F.lit(SHARD_SLOTS).cast("long"))).alias("at")
+    pieces = ranges.select(F.col("number").cast("long").alias("number"), F.col("blocks").cast("long").alias("blocks"), "shard", "hi", first)
+    dealt = pieces.repartition(max(1, -(-total // SLOTS_A_TASK)), "number", "at")
+    upto = F.least(F.col("at") + SHARD_SLOTS, "hi") - 1
+    slots = dealt.select("number", "blocks", "shard", F.explode(F.sequence(F.col("at"), upto)).alias("slot"))
     return slots.mapInArrow(run, schema)
 
 
 def _plan(documents, weights, share, block_words, shard_slots, seed, with_text=False):
     rows = positioned(documents, with_text)
     sources = materialize(quotas(targets(rows, weights, share), block_words), "mix-sources")
-    slots = slots_of(draw_shards(sources, shard_slots, seed), seed)
+    total = sources.agg(F.sum("slots")).first()[0] or 0
+    slots = slots_of(draw_shards(sources, shard_slots, seed), total, seed)
     same = F.col("source").eqNullSafe(F.col("_source"))
     numbers = sources.withColumnRenamed("source", "_source").select("_source", "number", "source_size", "target")
     rows = rows.join(F.broadcast(numbers), same).drop("_source")  # one row for each source

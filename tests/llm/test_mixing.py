@@ -90,3 +90,20 @@ def test_edge_rows_empty_table_and_clashing_names(docs):
     assert all(r["taken"] <= 2 * r["size"] for r in got)
     assert M.mix_sources(docs([])).count() == 0
     assert M.mix_sources(docs([(1, None, "a"), (2, "", "b")])).groupBy().sum("taken").first()[0] == 0
+
+
+def test_offsets_over_bundles_and_many_tasks(spark, docs, noise, monkeypatch):
+    """Small bundles, shards and tasks change where slots are made, not which."""
+    rows = [(i, " ".join(noise(40 + i % 7, i)), "hot" if i % 3 else f"s{i % 4}") for i in range(90)]
+    whole = sorted(tuple(r) for r in M.mix_sources(docs(rows), block_words=4, shard_slots=16).collect())
+    shards = sorted(tuple(r) for r in M.mixed_blocks(docs(rows), block_words=4, shard_slots=16).collect())
+    for name, value in (("BUNDLE_SHARDS", 3), ("SLOTS_A_TASK", 50), ("SHARD_SLOTS", 5)):
+        monkeypatch.setattr(M, name, value)
+    assert sorted(tuple(r) for r in M.mix_sources(docs(rows), block_words=4, shard_slots=16).collect()) == whole
+    again = M.mixed_blocks(docs(rows), block_words=4, shard_slots=16)
+    assert sorted(tuple(r) for r in again.collect()) == shards
+    slots = [(r["number"], r["slot"]) for r in again.select("number", "slot").collect()]
+    assert len(set(slots)) == len(slots)
+    sources = M.quotas(M.targets(M.positioned(docs(rows))), 4)
+    ranges = M.draw_shards(sources, 16, 1)
+    assert M.slots_of(ranges, sum(r["slots"] for r in sources.collect()), 1).rdd.getNumPartitions() > 8
