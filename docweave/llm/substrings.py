@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from docweave.llm.fm_index import FMIndex
-from docweave.llm.words import WordCache, chunks, rolling, split_words, text_chunks, word_code, word_codes
+from docweave.llm.words import chunks, hashed_words, rolling, text_chunks
 from docweave.session import fresh_dir, materialize
 
 WINDOW = 13
@@ -55,12 +55,11 @@ def minimizers(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, gram): the minimizers of each text."""
-    cache = WordCache(word_code)
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
         for first, texts in text_chunks(batch, "text"):
-            words, starts = split_words(texts)
-            where, least = minimizers(word_codes(words, cache), starts)
+            codes, starts = hashed_words(texts)
+            where, least = minimizers(codes, starts)
             owner = np.searchsorted(starts, where, side="right") - 1
             new = np.ones(len(where), bool)
             new[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
@@ -132,7 +131,6 @@ def _codes(raw: bytes) -> np.ndarray:
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Units of texts with shared minimizers: stretches of windows with one leader, or, if that is hot, with one
     minimizer, or single windows if that is hot too."""
-    cache = WordCache(word_code)
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
         for first, texts in _unpacked(batch):
@@ -140,8 +138,7 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             marks = batch.column("marks").slice(first, len(texts)).flatten()
             grams, leaders, levels = (marks.field(k).to_numpy(zero_copy_only=False) for k in range(3))
             grams, place = np.unique(grams, return_index=True)
-            words, starts = split_words(texts)
-            codes = word_codes(words, cache)
+            codes, starts = hashed_words(texts)
             where, least = minimizers(codes, starts)
             signed = least.view(np.int64)
             at = np.minimum(np.searchsorted(grams, signed), len(grams) - 1)

@@ -98,3 +98,43 @@ def word_codes(words: list[bytes], cache: WordCache) -> np.ndarray:
 def lower_ascii(text: bytes | None) -> bytes | None:
     """A-Z in lower case, all else untouched."""
     return None if text is None else text.lower()
+
+
+_SMALL_BYTES = 1 << 17  # whose arrays stay in a processor's cache
+_PLACES = 64
+_TABLE = np.random.default_rng(20_240_607).integers(0, 1 << 64, _PLACES * 256, np.uint64)  # a number for every place and byte of a word
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def hashed_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all words of some texts, and where each text begins among them (one more at the end).
+
+    A code is the sum of a random number for every place and byte of the word, so two words have equal codes with chance 2^-64. Words
+    of more than ``_PLACES`` bytes, which are rare, have the code of ``word_code``. All of it works on whole arrays; the codes are
+    the same on every machine but others than those of ``word_code``.
+    """
+    parts = [_hashed(texts[a:b]) for a, b in chunks([len(t or b"") for t in texts], _SMALL_BYTES)]
+    if not parts:
+        return np.empty(0, np.uint64), np.zeros(1, np.int64)
+    before = np.cumsum([0, *[len(codes) for codes, _ in parts]])
+    starts = [found[:-1] + n for (_, found), n in zip(parts, before)]
+    return np.concatenate([codes for codes, _ in parts]), np.concatenate([*starts, before[-1:]])
+
+
+def _hashed(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    joined = b"\n".join(t or b"" for t in texts)
+    data = np.frombuffer(joined, np.uint8)
+    edges = np.flatnonzero(np.diff(_BLANK[data].view(np.int8), prepend=np.int8(1), append=np.int8(1)))
+    begins, ends = edges[0::2], edges[1::2]
+    lengths = ends - begins
+    codes = np.empty(0, np.uint64)
+    if len(begins):
+        at = np.flatnonzero(~_BLANK[data])  # bytes that belong to words
+        place = at - np.repeat(begins, lengths)
+        values = _TABLE[np.minimum(place, _PLACES - 1) * 256 + data[at]]
+        codes = np.add.reduceat(values, np.cumsum(lengths) - lengths)
+    for i in np.flatnonzero(lengths > _PLACES).tolist():
+        codes[i] = word_code(joined[begins[i] : ends[i]])
+    offsets = np.cumsum([0, *[len(t or b"") + 1 for t in texts]])
+    return codes, np.searchsorted(begins, offsets).astype(np.int64)
