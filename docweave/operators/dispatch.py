@@ -6,8 +6,6 @@ structures share one projection; their states differ in what counts as the same
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
@@ -91,15 +89,14 @@ def state_of(requests: DataFrame) -> DataFrame:
     """What the requests leave behind: structure, key, sub_key, value, score, and the position of list entries.
 
     Strings and hash fields keep the last value and lose it by a delete, sets keep distinct members,
-    sorted sets the last score of each; lists keep everything, to be read in order of position.
+    sorted sets the last score of each; lists keep everything, to be read in order of position. All but the lists come from one
+    aggregation by what counts as the same entry: the sub key of strings and hash fields, the value of the others.
     """
     out = ["structure", "key", "sub_key", "value", "score", *POSITION]
     no_position = [F.lit(None).cast(requests.schema[c].dataType).alias(c) for c in POSITION]
-    keyed = latest_per_key(requests.filter(F.col("structure").isin(*_KEYED)), ["structure", "key", "sub_key"])
-    keyed = keyed.filter("action <> 'delete'").select(*out[:5], *no_position)
-    lists = requests.filter("structure = 'list'").select(*out)
-    sets = requests.filter("structure = 'set'").select(*out[:5]).distinct().select(*out[:5], *no_position)
-    scored = requests.filter("structure = 'sortedset'").groupBy("structure", "key", "value")
-    scored = scored.agg(F.max_by("score", position()).alias("score"))
-    scored = scored.select("structure", "key", F.lit(None).cast("string").alias("sub_key"), "value", "score", *no_position)
-    return reduce(DataFrame.unionByName, [keyed, lists, sets, scored])
+    keyed = F.col("structure").isin(*_KEYED)
+    named = requests.filter(F.col("structure") != "list").withColumn("_entry", F.when(keyed, F.col("sub_key")).otherwise(F.col("value")))
+    last = F.max_by(F.struct("sub_key", "value", "score", "action"), position()).alias("_last")
+    entries = named.groupBy("structure", "key", "_entry").agg(last).select("structure", "key", "_last.*")
+    entries = entries.filter(~keyed | (F.col("action") != "delete")).select(*out[:5], *no_position)
+    return entries.unionByName(requests.filter("structure = 'list'").select(*out))

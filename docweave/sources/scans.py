@@ -124,10 +124,57 @@ def split_plan(df: DataFrame, key: str, page_size: int) -> DataFrame:
     )
 
 
+def value_at_rank(df: DataFrame, column: str | Column, rank: int, accuracy: int = 10_000) -> tuple[int | float, int]:
+    """The ``rank``-th smallest value (from 1) of a numeric column without nulls, and how many rows lie below it.
+
+    A quantile sketch, which tasks merge, gives two values around the rank; the rows between them are counted, and sketched again if they are
+    not one value. Every step is an aggregation that reads the column alone and leaves about one row in ``accuracy / 4``: nothing is sorted or written.
+    """
+    values, below = df.select(F.col(column).alias("v") if isinstance(column, str) else column.alias("v")), 0
+    while True:
+        rows = values.count()
+        if not 1 <= rank - below <= rows:
+            raise ValueError("no row of this rank")
+        wanted, error = rank - below, 2 * rows // accuracy
+        around = [max(wanted - error, 1) / rows, min(wanted + error, rows) / rows]
+        low, high = values.agg(F.percentile_approx("v", around, accuracy)).first()[0]
+        less, upto, least_high, upto_high = values.agg(
+            F.count_if(F.col("v") < low), F.count_if(F.col("v") <= low), F.count_if(F.col("v") < high), F.count_if(F.col("v") <= high)
+        ).first()
+        for value, before, after in ((low, less, upto), (high, least_high, upto_high)):
+            if before < wanted <= after:
+                return value, below + before
+        if wanted <= less:
+            values = values.filter(F.col("v") < low)
+        elif wanted > upto_high:
+            values, below = values.filter(F.col("v") > high), below + upto_high
+        else:
+            values, below = values.filter((F.col("v") > low) & (F.col("v") < high)), below + upto
+
+
 def paged_limit(df: DataFrame, key: str, page_size: int, page_limit: int) -> DataFrame:
-    """The first ``page_limit`` pages in key order, cut by global position so that no task holds them.
+    """The first ``page_limit`` pages in order of a numeric key, nulls first.
 
-    Rows with equal keys come in the order of the hash of their columns.
+    Rows with equal keys come in the order of the hash of their columns. The last key, and where it is shared the last hash, are found
+    by sketches of these columns; the table is only filtered. Of rows equal in all columns at the cut as many are kept as fit.
     """
-    numbered = global_index(df, F.col(key), F.xxhash64(*df.columns), name="_no", start=1)
-    return numbered.filter(F.col("_no") <= page_size * page_limit).drop("_no")
+    wanted = page_size * page_limit
+    if wanted < 1:
+        return df.limit(0)
+    unknown = df.filter(F.col(key).isNull())
+    nulls, rows = df.select(F.count_if(F.col(key).isNull()), F.count(F.lit(1))).first()
+    if wanted >= rows:
+        return df
+    if wanted <= nulls:
+        return _first_by_hash(unknown, wanted)
+    last, below = value_at_rank(df.filter(F.col(key).isNotNull()), key, wanted - nulls)
+    before = df.filter(F.col(key).isNull() | (F.col(key) < last))
+    return before.unionByName(_first_by_hash(df.filter(F.col(key) == last), wanted - nulls - below))
+
+
+def _first_by_hash(df: DataFrame, wanted: int) -> DataFrame:
+    """The first rows in order of the hash of their columns."""
+    row_hash = F.shiftright(F.xxhash64(*df.columns), 11)  # 53 bits, which a sketch tells apart
+    last, below = value_at_rank(df, row_hash, wanted)
+    equal = df.filter(row_hash == last).limit(wanted - below)  # equal rows, whichever they are
+    return df.filter(row_hash < last).unionByName(equal)

@@ -68,6 +68,35 @@ def test_page_limit_cuts_ties_alike_in_any_order(spark):
     assert len(first) == 80 and max(r[0] for r in first) == 7
 
 
+@pytest.mark.parametrize("accuracy", [20, 10_000])
+def test_value_at_rank(spark, accuracy):
+    for scale in (1, 1 << 53):
+        numbers = sorted([i * i % 997 * scale for i in range(700)] + [5 * scale] * 300)
+        df = spark.createDataFrame([(v,) for v in numbers], "v long").repartition(3)
+        for rank in (1, 2, 333, 500, 999, 1000) if scale == 1 else (1, 500):
+            value = numbers[rank - 1]
+            assert scans.value_at_rank(df, "v", rank, accuracy) == (value, numbers.index(value))
+    with pytest.raises(ValueError):
+        scans.value_at_rank(df, "v", 1001)
+
+
+def test_page_limit_with_nulls_repeated_rows_and_all_pages(spark):
+    rows = [(None, i) for i in range(10)] + [(1, 1)] * 30 + [(2, i) for i in range(30)] + [(3, 9)]
+    df = spark.createDataFrame(rows, "k long, v int").repartition(4)
+    order = lambda r: (r[0] is not None, r[0] or 0)
+    for wanted in (0, 1, 4, 10, 11, 25, 40, 41, 55, 70, 71, 200):
+        got = [tuple(r) for r in scans.paged_limit(df, "k", wanted, 1).collect()]
+        assert sorted(map(order, got)) == sorted(map(order, rows))[:wanted]
+        assert not set(got) - set(rows) and len(got) - len(set(got)) == max(0, min(30, wanted - 10) - 1)
+
+
+def test_page_limit_reads_the_key_for_the_cut(spark):
+    """The wide table is filtered, not sorted or written."""
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = scans.paged_limit(orders, "o_orderkey", 100, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan.split("xxhash64")[0] and "PushedFilters" in plan
+
+
 def test_listed_ids_in_the_type_of_the_key(spark):
     texts = spark.createDataFrame([("7",), ("07",), ("10",), ("x",)], "k string")
     assert rows_of(scans.id_list_scan(texts, "k", "7,10")) == [("10",), ("7",)]
