@@ -16,6 +16,7 @@ from docweave.operators.postings import (
 )
 from docweave.operators.propagate import add_deltas, count_deltas, delta_of, keys_in, union_of
 from docweave.operators.rules import Rule, effective_rules, require_rules, rule_match
+from docweave.operators.rule_table import effective_by_table, match_rules, rules_frame
 from docweave.operators.segment import segment
 from docweave.plans.actor import build_actor_document
 from docweave.plans.column_queries import BRANDS_SQL, PAYMENT_SQL, STRATEGIES_SQL
@@ -34,7 +35,7 @@ from docweave.plans.fixtures import (
 )
 from docweave.plans.media import MediaInputs, build_media_document
 from docweave.plans.refresh import deltas_between, earlier, refresh_documents
-from docweave.plans.registry import query, with_views
+from docweave.plans.registry import TWINS, query, with_views
 from docweave.session import fresh_dir, materialize
 from docweave.sources.scans import incremental_scan
 
@@ -286,6 +287,17 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return require_rules(effective).select("db", "tbl", "rule_id")
 
 
+@query("c11_rule_table", TWINS["c11_rule_match"])
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """The same matches with the rules as a table."""
+    return match_rules(_catalog(Tables(spark, sf)), rules_frame(spark, RULES)).select("db", "tbl", "rule_id")
+
+
+@query("g2_effective_rule_table", TWINS["g2_effective_rules"])
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return effective_by_table(_catalog(Tables(spark, sf)), rules_frame(spark, RULES)).select("db", "tbl", "rule_id")
+
+
 @query("c12_without", with_views(V_DOC, select="SELECT id, update_time FROM v_doc WHERE id NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
