@@ -1,16 +1,21 @@
 """Streaming forms of the state, job, log, retry and refresh operators.
 
 A state is a target in shards that each micro-batch is merged into. The other streams run the batch operator on their micro-batch and
-write to a ``BatchStore``; readers resolve the batches with the same operator. Rate limits are a property of the source (``max_files``).
+write to a ``BatchStore``; readers resolve the batches with the same operator. Sources limit what a batch takes (``max_files``, ``max_bytes``, ``max_changes``); a writer of jobs
+also waits while its queue is full.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from docweave.operators import changes as cdc
+from docweave.operators.jobs import queue_depth
 from docweave.operators.logs import LOG_SCHEMA, log_upsert, parse_access_log
 from docweave.operators.merge import apply_batch
 from docweave.operators.retry import MAX_RETRY, TTL_SECONDS, retry_ledger
@@ -75,6 +80,25 @@ def read_state(target: ShardedTarget) -> DataFrame:
     return target.read().filter(F.col("action") != "delete")
 
 
+def wait_for_room(depth: Callable[[], int], limit: int, pause: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> int:
+    """Wait until a queue holds fewer than ``limit`` members; returns how often it was full."""
+    waited = 0
+    while depth() >= limit:
+        waited += 1
+        sleep(pause)
+    return waited
+
+
+def depth_of(members: Callable[[], DataFrame], queue: str) -> Callable[[], int]:
+    """The measured depth of a queue: a function that counts its members (column ``queue``) anew at every call."""
+
+    def depth() -> int:
+        row = queue_depth(members().filter(F.col("queue") == queue), "queue", 1).first()
+        return row["depth"] if row else 0
+
+    return depth
+
+
 def stream_jobs(
     changes: DataFrame,
     store: BatchStore,
@@ -83,10 +107,19 @@ def stream_jobs(
     checkpoint: str,
     bulk_size: int = cdc.BULK_SIZE,
     interval: str | None = None,
+    depth: Callable[[], int] | None = None,
+    limit: int = 0,
+    pause: float = 1.0,
 ):
-    """Compact the changes of every micro-batch to jobs, at most ``bulk_size`` changes to a job."""
+    """Compact the changes of every micro-batch to jobs, at most ``bulk_size`` changes to a job.
+
+    With a ``depth`` function a batch is written only when the queue holds fewer than ``limit`` jobs. Until then the stream takes no
+    further input, so the queue never exceeds the limit by more than one batch, whose size the source limits.
+    """
 
     def handle(batch: DataFrame, batch_id: int, run: str) -> None:
+        if depth is not None:
+            wait_for_room(depth, limit, pause)
         batched = cdc.flush_batches(batch, bulk_size)
         jobs = cdc.compact_ids(batched, queue, tag, F.col("key"), F.col("event_time"))
         store.write(jobs.withColumn("run", F.lit(batch_id).cast("long")), batch_id, run)

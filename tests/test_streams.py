@@ -152,3 +152,28 @@ def test_a_run_is_the_same_after_a_restart(spark, tmp_path):
         feed = spark.readStream.schema(schema).parquet(str(tmp_path / "feed"))
         feeds.run_batches(feed, lambda batch, n, run: seen.append((n, run)), str(tmp_path / "checkpoint")).awaitTermination()
     assert [n for n, _ in seen] == [0, 1, 2] and len({run for _, run in seen}) == 1
+
+
+def test_writer_of_jobs_waits_for_a_slow_consumer(spark, events, tmp_path):
+    """The consumer takes one job at every look at the queue; the queue exceeds its limit by a batch at most."""
+    stream = changes_of(feed_of(spark, events, f"{tmp_path}/feed", files=6)).select("file", "pos", "db", "tbl", "action", "key", "event_time")
+    store = BatchStore(spark, f"{tmp_path}/out", feeds.JOB_SCHEMA)
+    taken, depths, limit = [0], [], 3
+    members = feeds.depth_of(lambda: store.read().select("queue"), "q")
+
+    def depth():
+        depths.append(members() - taken[0])
+        taken[0] += depths[-1] > 0
+        return depths[-1]
+
+    feeds.stream_jobs(stream, store, F.lit("q"), F.lit("t"), f"{tmp_path}/checkpoint", bulk_size=10, depth=depth, limit=limit, pause=0).awaitTermination()
+    per_batch = store.stored().groupBy("_batch").count().agg(F.max("count")).first()[0]
+    assert max(depths) < limit + per_batch and sum(d >= limit for d in depths) > 5
+    assert store.read().agg(F.sum("n_ids")).first()[0] == events.count()
+
+
+def test_depth_of_an_empty_queue(spark):
+    members = spark.createDataFrame([("a",)], "queue string")
+    assert feeds.depth_of(lambda: members, "a")() == 1 and feeds.depth_of(lambda: members, "b")() == 0
+    seen = iter([5, 4, 1])
+    assert feeds.wait_for_room(lambda: next(seen), 2, sleep=lambda s: None) == 2
