@@ -23,6 +23,7 @@ from docweave.session import fresh_dir, materialize
 BLANKS = " \t\n\u000b\f\r"
 MIN_CHARS = 20
 MIN_DOCS = 3
+DROP_PARTS = 4096
 BATCHES = 4
 FANOUT = 3
 _KEYS = ["h1", "h2"]
@@ -115,6 +116,11 @@ class LineRuns:
         return self._merge(self.runs()).filter(F.col("n_docs") >= self.min_docs).select(*_KEYS, "keep")
 
 
+def _part(h1: Column) -> Column:
+    """Part of a document's dropped hashes that a hash belongs to."""
+    return F.pmod(h1, F.lit(DROP_PARTS)).cast("int")
+
+
 def dedup_lines(
     documents: DataFrame,
     min_chars: int = MIN_CHARS,
@@ -149,16 +155,23 @@ def dedup_lines(
     dropped = (
         hashed.join(repeated.hint("merge"), _KEYS)
         .filter(F.col("doc_id") != F.col("keep"))
-        .groupBy(F.col("doc_id").alias("_drop_id"))
-        .agg(F.collect_set(F.struct("h1", "h2")).alias("_drop"))
+        .groupBy(F.col("doc_id").alias("_drop_id"), _part(F.col("h1")).alias("part"))
+        .agg(F.collect_set(F.struct("h1", "h2")).alias("hashes"))
+        .groupBy("_drop_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("part", "hashes"))).alias("_drop"))
     )
     joined = documents.join(dropped, F.col(key) == F.col("_drop_id"), "left")
     every = text_lines(F.col(text))
 
-    def stays(line: Column) -> Column:
-        return ~F.array_contains(F.col("_drop"), F.struct(*_hashes(line_key(line))))
+    def with_hashes(line: Column) -> Column:
+        return F.struct(line.alias("line"), F.struct(*_hashes(line_key(line))).alias("h"))
+
+    def stays(one: Column) -> Column:
+        # only the hashes of one part are looked through, so a text of very many lines is not quadratic
+        return ~F.coalesce(F.array_contains(F.try_element_at(F.col("_drop"), _part(one["h"]["h1"])), one["h"]), F.lit(False))
 
-    kept = F.when(F.col("_drop").isNull(), every).otherwise(F.filter(every, stays))
+    left = F.transform(F.filter(F.transform(every, with_hashes), stays), lambda one: one["line"])
+    kept = F.when(F.col("_drop").isNull(), every).otherwise(left)
     # the short lines of a document can't be in _drop: its hashes come from long keys only
     return (
         joined.withColumn("_n_lines", F.size(every).cast("long"))

@@ -82,3 +82,16 @@ def test_edge_rows_empty_table_and_clashing_names(docs):
     assert found(docs([])) == []
     df = docs(rows).withColumnRenamed("n_chars", "keep").withColumnRenamed("lang", "h1")
     assert L.dedup_lines(df).columns == [*df.columns, "_n_lines", "_n_dropped"]
+
+
+def test_texts_of_very_many_repeated_lines(docs):
+    import time
+
+    seconds = []
+    for n in (10_000, 80_000):
+        text = "\n".join(f"a line that is repeated in all of them {i}" for i in range(n))
+        started = time.perf_counter()
+        got = {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in L.line_dedup_digest(docs([(i, text) for i in range(3)])).collect()}
+        seconds.append(time.perf_counter() - started)
+        assert got == {0: (n, n), 1: (n, n), 2: (n, 0)}
+    assert seconds[1] < 8 * seconds[0]
