@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docweave.session import materialize
+
 MIN_GRAM, MAX_GRAM = 1, 20
 _SEPARATORS = r"[^\p{L}\p{N}]+"
 # Weights of a search document's fields: spelled out name or alias, name, alias (fixed values).
@@ -50,14 +52,36 @@ def weighted_postings(df: DataFrame, key: str, weights: dict[str, int], words: d
     """Sum of the field weights per (``term``, ``key``) over the fields that contain the term.
 
     A field of ``weights`` is a text and has the prefixes of its words as terms; one of ``words`` is an array of words, as ``segment`` makes
-    them, and has those. All fields of a row are expanded in one pass, so the sum is complete before the shuffle.
+    them, and has those.
+
+    The weights of a row are summed inside the row, so the rows of a key that comes once are not aggregated at all: what is expanded goes
+    neither through a hash table nor through a shuffle. Only rows of keys that repeat do, null among them. ``df`` is read twice.
     """
 
     def weighted(terms: Column, weight: int) -> Column:
-        present = F.coalesce(terms, F.array().cast("array<string>"))
-        return F.transform(present, lambda term: F.struct(term.alias("term"), F.lit(weight).alias("weight")))
+        present = F.filter(F.coalesce(terms, F.array().cast("array<string>")), lambda term: term.isNotNull())
+        return F.map_from_entries(F.transform(present, lambda term: F.struct(term, F.lit(weight).cast("bigint"))))
 
     per_field = [weighted(prefixes(tokens(F.col(column))), weight) for column, weight in weights.items()]
-    per_field += [weighted(F.array_distinct(F.col(column)), weight) for column, weight in (words or {}).items()]
-    entries = df.select(key, F.inline(F.concat(*per_field)))
-    return entries.groupBy("term", key).agg(F.sum("weight").alias("weight"))
+    of_null = F.lit(0).cast("bigint")  # a word that is null is a term too, but no key of a map
+    for column, weight in (words or {}).items():
+        per_field.append(weighted(F.array_distinct(F.col(column)), weight))
+        of_null += F.when(F.exists(F.col(column), lambda word: word.isNull()), F.lit(weight)).otherwise(F.lit(0))
+    summed = per_field[0]
+    for field in per_field[1:]:
+        summed = F.map_zip_with(summed, field, lambda _, a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+    entries = F.map_entries(summed)
+    if words:
+        null_entry = F.array(F.struct(F.lit(None).cast("string").alias("key"), of_null.alias("value")))
+        entries = F.concat(entries, F.filter(null_entry, lambda e: e["value"] > 0))
+
+    def expanded(rows: DataFrame) -> DataFrame:
+        each = rows.select(key, F.explode(entries).alias("_e"))
+        return each.select(F.col("_e.key").alias("term"), key, F.col("_e.value").alias("weight"))
+
+    seen = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    repeated = materialize(seen.select(F.col(key).alias("_again")), "repeated-keys")
+    same = F.col(key).eqNullSafe(F.col("_again"))
+    once = expanded(df.join(repeated, same, "left_anti"))
+    several = expanded(df.join(repeated, same, "left_semi")).groupBy("term", key).agg(F.sum("weight").alias("weight"))
+    return once.unionByName(several)

@@ -457,7 +457,7 @@ FIELDS = {"p_name": SPELLED_WEIGHT, "p_type": NAME_WEIGHT, "p_brand": ALIAS_WEIG
           UNION ALL SELECT doc, term, 5 FROM ({_grams('p_partkey', 'p_brand', 'part')})) GROUP BY 1, 2""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return weighted_postings(Tables(spark, sf).table("part"), "p_partkey", FIELDS)
+    return weighted_postings(Tables(spark, sf).part, "p_partkey", FIELDS)
 
 
 # Names and types run together, as in a language without blanks; the dictionary has their words and shorter heads of them.

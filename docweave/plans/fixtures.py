@@ -43,6 +43,10 @@ class Tables:
     def line(self) -> DataFrame:
         return self.table("lineitem")
 
+    @cached_property
+    def part(self) -> DataFrame:
+        return _spread(self.table("part"), "p_partkey")
+
     @cached_property
     def tag_bridge(self) -> DataFrame:
         return self.line.select(F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("part_id"))

@@ -89,3 +89,19 @@ def test_segmented_fields_add_their_weight(spark):
     df = spark.createDataFrame([(1, "ab", ["ab", "ab", "x"], None)], "id long, spelled string, name array<string>, alias array<string>")
     got = rows_of(weighted_postings(df, "id", {"spelled": 20}, {"name": 10, "alias": 5}))
     assert got == [("a", 1, 20), ("ab", 1, 30), ("x", 1, 10)]
+
+
+def test_weights_of_repeated_and_null_keys_and_null_words_add_up(spark):
+    rows = [(1, "ab a", ["x", None]), (2, "a", None), (2, "ab", ["a", "a"]), (None, "a", ["x"]), (None, None, ["x"]), (None, "", [])]
+    df = spark.createDataFrame(rows, "id bigint, spelled string, name array<string>")
+    got = rows_of(weighted_postings(df, "id", {"spelled": 20}, {"name": 10}))
+    expected = [("a", 1, 20), ("ab", 1, 20), ("x", 1, 10), (None, 1, 10), ("a", 2, 50), ("ab", 2, 20), ("a", None, 20), ("x", None, 20)]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+def test_postings_of_keys_that_come_once_are_not_aggregated(spark):
+    """A task's memory would grow with the postings of its rows."""
+    df = spark.createDataFrame([(i, f"word{i} other") for i in range(50)], "id bigint, spelled string")
+    plan = weighted_postings(df, "id", {"spelled": 20})._jdf.queryExecution().optimizedPlan().toString()
+    once, several = plan.split("LeftAnti")[0], plan.split("LeftSemi")[0].split("LeftAnti")[1]
+    assert "Generate" in once and "Aggregate" not in once and "Aggregate" in several
