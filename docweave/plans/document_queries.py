@@ -487,7 +487,7 @@ V_SEGMENT = """RECURSIVE v_text AS (SELECT p_partkey AS id, unnest([0, 1]) AS fi
 def _run_together(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(texts, dictionary)"""
     t = Tables(spark, sf)
-    part = t.table("part")
+    part = t.part
     single = part.select(F.explode(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("w")).distinct()
     heads = single.select(F.explode(F.array(F.when(F.length("w") > 3, F.col("w")), F.substring("w", 1, 3), F.expr("right(w, 4)"))).alias("word"))
     # one entity writes all words; the same union as for every dictionary
@@ -520,5 +520,6 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     """Weights of prefixes and of words cut by a dictionary too large to broadcast."""
     texts, words = _run_together(spark, sf)
     cut = segment(texts, "p_partkey", ["name", "alias"], words, broadcast_chars=0)
-    rows = Tables(spark, sf).table("part").select("p_partkey", "p_name").join(cut, "p_partkey")
+    rows = Tables(spark, sf).part.select("p_partkey", "p_name").join(cut, "p_partkey")
+    rows = materialize(rows, "segmented")  # read for the keys that repeat and for the postings
     return weighted_postings(rows, "p_partkey", {"p_name": SPELLED_WEIGHT}, {"name": NAME_WEIGHT, "alias": ALIAS_WEIGHT})
