@@ -92,5 +92,7 @@ def _applied(route: Route, ids: DataFrame) -> DataFrame:
     """The target of a route after its ids (tag, id, op)."""
     named = ids.select(*([] if route.tag is None else [F.col("tag").alias(route.tag)]), F.col("id").alias(route.key), "op")
     rows = route.source.join(named.filter("op = ''").select(*route.keys), route.keys, "left_semi")
-    changed = upsert_merge(route.target, route.build(rows), route.keys)
+    # written first: the merge broadcasts a small batch by its measured size and does not shuffle the target for it
+    built = materialize(route.build(rows), "built-documents")
+    changed = upsert_merge(route.target, built, route.keys)
     return without(changed, named.filter("op = 'delete'"), route.keys)

@@ -39,6 +39,17 @@ def test_consumed_jobs_leave_the_queue_and_failures_come_back(spark):
     assert done.exhausted.count() == 0
 
 
+def test_a_small_batch_does_not_shuffle_its_target(spark):
+    """The source is too large to broadcast by its estimate; what the jobs select of it is small."""
+    rows = spark.range(3_000_000).selectExpr("id", "cast(id as string) AS v")
+    queue = spark.createDataFrame([("a_x:1,2", 1.0)], "member string, score double")
+    ledger = spark.createDataFrame([], "tag string, id bigint, times int, expires_at bigint")
+    done = consume_jobs(queue, 5, [Route(["a_x"], rows, rows)], ledger=ledger, now=100)
+    plan = done.targets[0]._jdf.queryExecution().executedPlan().toString()
+    merges = [line for line in plan.splitlines() if "LeftOuter" in line]
+    assert merges and all("BroadcastHashJoin" in line for line in merges)
+
+
 def test_jobs_of_entities_that_share_ids_stay_apart(spark):
     queue = spark.createDataFrame(
         [("app_media:1,2", 1.0), ("app_actor_delete:1", 2.0), ("app_actor:3", 3.0), ("app_album:1", 4.0), ("app_film_delete:2", 5.0)], "member string, score double"
