@@ -31,6 +31,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -101,7 +102,7 @@ class Encoder:
             if None in row:
                 gaps = [i for i, own in enumerate(row) if own is None]
                 open_.append((len(rows), pieces, gaps))
-                fresh.update((pieces[i], None) for i in gaps)
+                fresh.update(zip(map(pieces.__getitem__, gaps), repeat(None)))
             rows.append(row)
         odd = self._resolve(fresh)
         for n, pieces, gaps in open_:
@@ -112,16 +113,18 @@ class Encoder:
                 rows[n] = [self.known.get(p) or fresh.get(p) or once[p] for p in pieces]
             else:
                 row = rows[n]
-                for i in gaps:
-                    row[i] = fresh[pieces[i]]
+                for i, own in zip(gaps, map(fresh.__getitem__, map(pieces.__getitem__, gaps))):
+                    row[i] = own
         if len(self.known) > self.limit:  # begin anew with what is in use
             self.known = {p: own for _, pieces, _ in open_ for p in pieces if (own := self.known.get(p)) is not None}
         return [b"".join(row) for row in rows]
 
     def _resolve(self, fresh: dict[str, bytes | None]) -> set[str]:
         """Put in the ids of new pieces; those that are not one word after one blank at most are returned."""
-        words, others, parts = [], [], {}
-        for piece in fresh:
+        bare = list(filter(_BARE_WORD.fullmatch, fresh))  # most of them: a part as they are
+        parts = dict.fromkeys(bare)
+        words, others = [], []
+        for piece in [p for p in fresh if p not in parts]:
             word = _PLAIN_WORD.fullmatch(piece)
             if word:
                 groups = word.groups()
@@ -133,6 +136,7 @@ class Encoder:
             else:
                 others.append(piece)
         self._encode_parts(list(parts))
+        fresh.update(zip(bare, map(self.known.__getitem__, bare)))
         for piece, (feed, letters, marks) in words:
             own = self.known[letters]
             if marks:
@@ -167,7 +171,9 @@ _SPELLED = np.arange(256, dtype="<u4")
 _HIDDEN = np.flatnonzero((_SPELLED < 33) | ((_SPELLED > 126) & (_SPELLED < 161)) | (_SPELLED == 173))
 _SPELLED[_HIDDEN] = 0x100 + np.arange(len(_HIDDEN))
 _FEED = chr(_SPELLED[ord("\n")])
-_PLAIN_WORD = re.compile("(\n?)( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]{1,40})([.,;:!?]{0,8})")
+_LETTERS = " ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]{1,40}"
+_BARE_WORD = re.compile(_LETTERS)
+_PLAIN_WORD = re.compile(f"(\n?)({_LETTERS})([.,;:!?]{{0,8}})")
 
 
 def _is_plain(piece: str) -> bool:

@@ -95,3 +95,21 @@ def test_other_tokenizers_get_whole_texts(docs):
     assert not token_files.Encoder(file).cuts
     got = token_files.tokenize(docs([(1, "Some words  here")]), file).first()["ids"]
     assert np.frombuffer(got, "<u4").tolist() == [*Tokenizer.from_file(file).encode("Some words  here", add_special_tokens=False).ids, 0]
+
+
+def test_bare_words_need_no_match_of_their_own(whole, monkeypatch):
+    """New words make up most of the work; only those with a line feed or marks are taken apart one by one."""
+    encoder = token_files.Encoder(FILE)
+    seen = []
+
+    class Pattern:
+        @staticmethod
+        def fullmatch(piece, pattern=token_files._PLAIN_WORD):
+            seen.append(piece)
+            return pattern.fullmatch(piece)
+
+    monkeypatch.setattr(token_files, "_PLAIN_WORD", Pattern)
+    texts = ["Word other été\nfeed marks, é 12 other", "other, Word word  two feed", "marks marks, été"]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in [*encoder(texts), *encoder(texts)]]
+    assert got == [whole(t) for t in texts] * 2
+    assert not {"Word", " other", " été", " Word", " word"} & set(seen) and {"\nfeed", " marks,", "other,", " 12"} <= set(seen)
