@@ -3,11 +3,16 @@
 The document by n-gram incidence matrix A is never multiplied whole. Rows with the same set of n-grams
 are one class. Two sets can only reach the similarity ``t`` if their prefixes, the smallest hashes of
 each set in one global order, share ``need`` hashes (a bound that follows from the set sizes alone); so
-only hashes found in the prefixes of two classes matter. Every such hash sends its classes to the block
-named by its smallest class: classes that share a prefix hash share a block, and a row leaves the blocks
-in which it has too few of its hashes to be needed there. A block of more than
+only hashes found in the prefixes of two classes matter. Of these a class leaves out as many as any of its pairs
+shares at least, the most frequent ones first: in one order of all hashes, the last one that a pair shares is
+left out by neither. Every other hash sends its classes to the block
+named by its smallest class: classes that share it share a block. A block of more than
 ``BLOCK_ROWS`` rows or ``BLOCK_NGRAMS`` n-grams is split into parts, and each pair of parts is one group.
 
+Whole sets are only sent to a block for rows that are likely to have a partner in it. That is decided on sketches of a bit
+or two for each n-gram: bit ``i`` tells whether an odd number of n-grams fell on place ``i``. Every place at which two sketches differ
+holds an n-gram that only one of the sets has, so two sets that differ too much are told apart and no pair is missed.
+
 Inside a group the product A x A' is made from postings: n-grams of one row only are dropped, and with
 them rows that have too few left to reach any partner; overlap counts of the others are accumulated in
 pieces, pairs below the size bound are discarded, and the exact test decides. A group returns the edges of a
@@ -30,7 +35,10 @@ from docweave.session import materialize
 BLOCK_ROWS = 1024
 BLOCK_NGRAMS = 2_000_000
 EXTRA_PERCENT = 3
+SKETCH_ROWS = 4096
+SKETCH_NGRAMS = 1 << 26
 _PRODUCT_CELLS = 1 << 22
+_SKETCH_CELLS = 1 << 20
 _SET = ["k1", "k2"]
 
 
@@ -66,10 +74,76 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(marks, np.int64).reshape(-1, 2).T)
 
 
+def sketches(sets: list[np.ndarray]) -> list[bytes]:
+    """Parities of the n-grams at each place, one bit a place; the number of places is the next power of two, 64 at least.
+
+    A sketch of twice the places folds to one of half of them by an exclusive or of its halves.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    places = np.int64(64) << np.ceil(np.log2(np.maximum(sizes, 64) / 64)).astype(np.int64)
+    ends = np.cumsum(places)
+    if not len(sets):
+        return []
+    at = (np.concatenate(sets) & np.repeat(places - 1, sizes).astype(np.uint64)).astype(np.int64)
+    counts = np.bincount(at + np.repeat(ends - places, sizes), minlength=ends[-1])
+    bits = np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [bits[(end - n) // 8 : end // 8] for end, n in zip(ends.tolist(), places.tolist())]
+
+
+def likely(sizes: np.ndarray, marks: list[bytes], side: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows may have a partner by their sizes and sketches; no row that has one is left out. ``side`` as for ``forest``."""
+    two_sided = side.min() != side.max()
+    found = np.zeros(len(sizes), bool)
+    order = np.argsort(sizes, kind="stable")
+    widths = np.array([len(marks[i]) // 8 for i in order])
+    groups = {int(w): order[widths == w] for w in np.unique(widths)}
+    tables = {w: np.frombuffer(b"".join(marks[i] for i in rows), np.uint64).reshape(-1, w) for w, rows in groups.items()}
+    for w, small in groups.items():
+        for v, large in groups.items():
+            if v < w or 100 * sizes[small[-1]] < percent * sizes[large[0]]:
+                continue
+            mine, folded = tables[w], tables[v]
+            while folded.shape[1] > w:
+                folded = folded[:, : folded.shape[1] // 2] ^ folded[:, folded.shape[1] // 2 :]
+            mine, folded = np.ascontiguousarray(mine.T), np.ascontiguousarray(folded.T)
+            of_small, of_large = sizes[small], sizes[large]
+            first, start = 0, 0
+            while start < len(small):
+                # partners of this row and the next ones: none is smaller than it is, nor too large for the last
+                first = max(start, 0) if v == w else 0
+                step = 1
+                last = np.searchsorted(of_large, 100 * of_small[start] // percent, "right")
+                while start + step < len(small):
+                    more = np.searchsorted(of_large, 100 * of_small[start + step] // percent, "right")
+                    if (step + 1) * (more - first) > _SKETCH_CELLS:
+                        break
+                    step, last = step + 1, more
+                a, b = small[start : start + step], large[first:last]
+                if len(b):
+                    apart = np.zeros((len(a), len(b)), np.int32)
+                    for j in range(w):
+                        apart += np.bitwise_count(mine[j, start : start + step, None] ^ folded[None, j, first:last])
+                    near = apart.astype(np.int64) * (100 + percent) <= (sizes[a][:, None] + sizes[b][None, :]) * (100 - percent)
+                    near &= a[:, None] != b[None, :]
+                    if two_sided:
+                        near &= side[a][:, None] != side[b][None, :]
+                    found[a[near.any(axis=1)]] = True
+                    found[b[near.any(axis=0)]] = True
+                start += step
+    return found
+
+
 def _profile(k: int, percent: int):
-    """Batches of (doc_id, text) to sizes, set signatures and prefixes."""
+    """Batches of (doc_id, text) to sizes, set signatures, prefixes and sketches."""
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("prefix", pa.list_(pa.int64()))]
+        [
+            ("doc_id", pa.int64()),
+            ("n", pa.int64()),
+            ("k1", pa.int64()),
+            ("k2", pa.int64()),
+            ("prefix", pa.list_(pa.int64())),
+            ("sketch", pa.binary()),
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,11 +164,12 @@ def _profile(k: int, percent: int):
                         pa.array(signs[0]),
                         pa.array(signs[1]),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(prefix.view(np.int64))),
+                        pa.array(sketches(sets), pa.binary()),
                     ],
                     schema=schema,
                 )
 
-    return run, "doc_id long, n long, k1 long, k2 long, prefix array<long>"
+    return run, "doc_id long, n long, k1 long, k2 long, prefix array<long>, sketch binary"
 
 
 def _full_sets(k: int):
@@ -177,6 +252,16 @@ def forest(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent:
     return edges
 
 
+def _likely(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        found = np.zeros(len(table), bool)
+        if len(table) > 1:
+            found = likely(table.column("n").to_numpy(), table.column("sketch").to_pylist(), table.column("side").to_numpy(), percent)
+        return table.select([*_SET, "node", "n", "block"]).filter(pa.array(found))
+
+    return run, "k1 long, k2 long, node long, n long, block long"
+
+
 def _block(percent: int):
     def run(table: pa.Table) -> pa.Table:
         sets = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
@@ -187,6 +272,25 @@ def _block(percent: int):
     return run, "a long, b long"
 
 
+def _placed(members: DataFrame, most_rows: int, most_grams: int) -> DataFrame:
+    """Rows of each block in its groups, which are the pairs of its parts; blocks of one row are left out."""
+    blocks = members.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("grams"))
+    parts = F.greatest(F.ceil(F.col("rows") / most_rows), F.ceil(F.col("grams") / most_grams)).cast("int")
+    blocks = blocks.filter("rows > 1").select("block", parts.alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    placed = members.join(blocks, "block").select(*_SET, "node", "n", "block", part.alias("own"), other.alias("other"))
+    return placed.select(
+        *_SET,
+        "node",
+        "n",
+        "block",
+        F.least("own", "other").alias("p"),
+        F.greatest("own", "other").alias("q"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
+    )
+
+
 def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each row of ``documents`` (``doc_id``, ``text``).
 
@@ -201,50 +305,40 @@ def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> D
     rows = materialize(slim.mapInArrow(run, schema), "ngram-rows")
     usable = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = materialize(
-        usable.groupBy(*_SET).agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")),
+        usable.groupBy(*_SET).agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
         "ngram-classes",
     )
+    known = classes.select(*_SET, "node", "n")
 
     # both sides of these joins grow with the input: merge joins at every size, split by adaptive execution where skewed
+    # hardly a hash comes twice in one task, so they are shuffled once, as they are, for both the aggregation and the join with it.
+    # the filter, which the joins imply, makes both read the same exchange
     entries = usable.select(*_SET, F.explode("prefix").alias("gram"))
-    shared = entries.groupBy("gram").agg(F.min("k1").alias("block"), F.max("k1").alias("last"))
-    shared = shared.filter("block <> last").select("gram", "block")
-    touched = entries.join(shared.hint("merge"), "gram").groupBy(*_SET, "block").agg(F.count(F.lit(1)).alias("hits"))
-    touched = touched.join(classes.hint("merge"), _SET)
+    entries = entries.filter("k1 is not null and k2 is not null and gram is not null").repartition("gram")
+    ends = [f(k).alias(f"{name}_{k}") for k in _SET for name, f in (("least", F.min), ("most", F.max))]
+    shared = entries.groupBy("gram").agg(*ends, F.count(F.lit(1)).alias("times"))
+    shared = shared.filter("least_k1 <> most_k1 or least_k2 <> most_k2").select("gram", F.col("least_k1").alias("block"), "times")
+    touched = entries.join(shared.hint("merge"), "gram").select(*_SET, "gram", "block", "times").distinct()
     # a partner has at least needed(n) n-grams, and the pair shares more prefix hashes than its smaller extra()
     more = F.expr(f"((n * {percent} + 99) div 100) * {EXTRA_PERCENT} div 100")
-    of_set = Window.partitionBy(*_SET)
-    poorest_first = of_set.orderBy("hits", "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # if both rows of a pair leave blocks with at most half of those hashes, one hash stays in a common block
+    most_frequent_first = Window.partitionBy(*_SET).orderBy(F.desc("times"), "gram")
     members = materialize(
-        touched.withColumn("hits", (F.col("hits") / F.col("copies")).cast("long"))
-        .withColumn("more", more)
-        .withColumn("all_hits", F.sum("hits").over(of_set))
-        .withColumn("so_far", F.sum("hits").over(poorest_first))
-        .filter("all_hits > more and so_far > more div 2")
-        .select(*_SET, "node", "n", "block"),
+        touched.join(known.hint("merge"), _SET)
+        .withColumn("place", F.row_number().over(most_frequent_first))
+        .filter(F.col("place") > more)
+        .select(*_SET, "node", "n", "block")
+        .distinct(),
         "ngram-members",
     )
-
-    blocks = members.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("grams"))
-    parts = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_NGRAMS)).cast("int")
-    blocks = blocks.filter("rows > 1").select("block", parts.alias("parts"))
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    placed = members.join(blocks, "block").select(*_SET, "node", "block", part.alias("own"), other.alias("other"))
-    placed = placed.select(
-        *_SET,
-        "node",
-        "block",
-        F.least("own", "other").alias("p"),
-        F.greatest("own", "other").alias("q"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"),
-    )
+    run, schema = _likely(percent)
+    sketched = _placed(members, SKETCH_ROWS, SKETCH_NGRAMS).join(classes.select(*_SET, "sketch").hint("merge"), _SET)
+    members = materialize(sketched.groupBy("block", "p", "q").applyInArrow(run, schema).distinct(), "ngram-likely")
+    placed = _placed(members, BLOCK_ROWS, BLOCK_NGRAMS)
 
     run, schema = _full_sets(k)
     wanted = placed.select("node").distinct()
     texts = slim.withColumnRenamed("doc_id", "node").join(wanted.hint("merge"), "node")
-    sets = texts.mapInArrow(run, schema).dropDuplicates(["node", *_SET])
+    sets = materialize(texts.mapInArrow(run, schema).dropDuplicates(["node", *_SET]), "ngram-sets")
     run, schema = _block(percent)
     edges = placed.join(sets.hint("merge"), ["node", *_SET]).groupBy("block", "p", "q").applyInArrow(run, schema)
     linked = components(edges)

@@ -82,6 +82,57 @@ def test_forest_of_random_sets():
         assert label(edges) == label(links)
 
 
+def test_sketches_miss_no_pair_and_tell_others_apart(monkeypatch):
+    monkeypatch.setattr(ngram_join, "_SKETCH_CELLS", 50)
+    rng = np.random.default_rng(1)
+    base = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 5, 40, 64, 70, 128, 130, 700)]
+    sets = list(base)
+    for s in base[2:]:  # of each size, and of sketches of other widths
+        for change in (0.03, 0.08, 0.12):
+            kept = s[rng.random(len(s)) >= change]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, int(len(s) * change)).astype(np.uint64)])))
+    strangers = [np.unique(rng.integers(0, 1 << 63, 300 + i).astype(np.uint64)) for i in range(20)]
+    sets += strangers
+    sizes = np.array([len(s) for s in sets])
+    for percent in (60, 85):
+        for side in (np.zeros(len(sets), int), np.arange(len(sets)) % 2):
+            got = ngram_join.likely(sizes, ngram_join.sketches(sets), side, percent)
+            for i, a in enumerate(sets):
+                partners = [
+                    j
+                    for j, b in enumerate(sets)
+                    if i != j
+                    and (side[i] != side[j] or not side.any())
+                    and 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b))
+                ]
+                assert got[i] or not partners
+            assert not got[-len(strangers) :].any()
+
+
+def test_whole_sets_are_sent_for_likely_pairs_only(docs, noise, monkeypatch):
+    frames = {}
+
+    def keep(df, purpose, plain=ngram_join.materialize):
+        frames[purpose] = plain(df, purpose)
+        return frames[purpose]
+
+    monkeypatch.setattr(ngram_join, "materialize", keep)
+    common = noise(30, 99)
+    rows = [(i, " ".join(noise(60 + i % 7, 100 + i) + common)) for i in range(60)]
+    pair = noise(80, 1)
+    rows += [(1000, " ".join(pair + common)), (1001, " ".join([*pair[:-1], "other", *common]))]
+    assert found(ngram_join.jaccard_components(docs(rows))) == brute(rows, 4, 85)
+    assert frames["ngram-members"].select("node").distinct().count() > 2
+    assert {r["node"] for r in frames["ngram-sets"].collect()} == {1000, 1001}
+
+
+def test_a_pair_that_shares_the_most_frequent_hashes_is_found(docs, noise):
+    common = noise(60, 99)
+    rows = [(i, " ".join(common[: 20 + i % 40] + noise(30, 100 + i))) for i in range(50)]
+    rows += [(100 + i, " ".join([*common[:i], f"edit{i}", *common[i + 1 :], "tail"])) for i in range(0, 60, 7)]
+    assert found(ngram_join.jaccard_components(docs(rows))) == brute(rows, 4, 85)
+
+
 def test_edge_texts_ties_and_repeated_rows(docs, noise):
     rows = [(i, t) for i, t in enumerate(EDGE_TEXTS)]
     rows += [(50, "Same Words HERE now"), (51, "same words here NOW"), (51, "same words here NOW"), (52, "a b"), (53, "A  B")]
