@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from docweave.llm.graph import components
 from docweave.llm.words import WordCache, lower_ascii, rolling, split_words, text_chunks, word_code, word_codes
-from docweave.session import materialize
+from docweave.session import materialize, scratch
 
 BLOCK_ROWS = 1024
 BLOCK_NGRAMS = 2_000_000
@@ -300,6 +300,11 @@ def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> D
     with equal text link like any others, also when they repeat a ``doc_id``. A row without ``doc_id``
     keeps a null component and links with nothing. An empty table gives an empty result.
     """
+    with scratch(documents.sparkSession):
+        return materialize(_components(documents, k, percent), "ngram-components", keep=True)
+
+
+def _components(documents: DataFrame, k: int, percent: int) -> DataFrame:
     run, schema = _profile(k, percent)
     slim = documents.select("doc_id", "text")
     rows = materialize(slim.mapInArrow(run, schema), "ngram-rows")
@@ -361,4 +366,5 @@ def keep_one_per_component(documents: DataFrame, k: int = 5, percent: int = 80)
     """
     found = jaccard_components(documents, k, percent).filter(F.col("doc_id") != F.col("component_id"))
     gone = found.select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    # a merge join at every size, as above: the list grows with the input
+    return documents.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
